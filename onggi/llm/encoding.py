@@ -52,9 +52,13 @@ class PerfectHash:
             if len(own) <= 1:
                 single += [(b, own[0])] if len(own) else []
                 continue
-            for d in range(1, 1 << 22):
-                s = self._slots(hashes[own], np.uint64(d))
-                if not taken[s].any() and len(np.unique(s)) == len(s):
+            for low in range(1, 1 << 24, 128):  # displacements are tried in blocks
+                tries = np.arange(low, low + 128, dtype=np.uint64)
+                slots = self._slots(hashes[own][None, :], tries[:, None])
+                ordered = np.sort(slots, 1)
+                free = ~taken[slots].any(1) & (ordered[:, 1:] != ordered[:, :-1]).all(1)
+                if free.any():
+                    s, d = slots[k := int(free.argmax())], int(tries[k])
                     break
             else:
                 raise ValueError("two keys have the same hash")
