@@ -124,14 +124,16 @@ def paragraphs_and_answers(spark: SparkSession, sf_dir: str, exemplars: str, col
     )
 
 
-def outputs_and_answers(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """(src, rec_id, text, source) of predictions and of every assistant message of chats; each id once, null texts left out."""
-    p = once(table(spark, sf_dir, "predictions").select("pred_id", "prediction", "source"), "pred_id")
-    c = once(table(spark, sf_dir, "chats").select("chat_id", "messages", "source"), "chat_id")
+def outputs_and_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, rec_id, text, source) of predictions and of every assistant message of chats; null texts left out.
+
+    Deliveries come as they are, so that texts needn't be shuffled: who reports ids makes them distinct in the end.
+    """
+    p = table(spark, sf_dir, "predictions")
     said = F.explode(F.expr("transform(filter(messages, m -> m.role = 'assistant'), m -> m.content)"))
     return (
         p.select(F.lit("predictions").alias("src"), F.col("pred_id").alias("rec_id"), F.col("prediction").alias("text"), "source")
-        .unionByName(c.select(F.lit("chats").alias("src"), F.col("chat_id").alias("rec_id"), said.alias("text"), "source"))
+        .unionByName(table(spark, sf_dir, "chats").select(F.lit("chats").alias("src"), F.col("chat_id").alias("rec_id"), said.alias("text"), "source"))
         .where("text is not null")
     )
 

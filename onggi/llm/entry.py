@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encoding, leakage, lookalikes, near_duplicates, repetition, shared_spans
+from . import encoding, leakage, lookalikes, near_duplicates, pairs, repetition, sentences, shared_spans, truncation
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": near_duplicates.p1_found,
+        "p2_found": sentences.p2_found,
+        "p3_found": pairs.p3_found,
         "p4_found": lookalikes.p4_found,
+        "p5_found": truncation.p5_found,
+        "p5_rates": truncation.p5_rates,
         "p6_found": repetition.p6_found,
         "p6_measures": repetition.p6_measures,
         "p7_ids": encoding.p7_ids,

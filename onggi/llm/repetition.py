@@ -1,7 +1,7 @@
 """Repetition inside a document: rolling hashes of several n-gram lengths in numpy.
 
 For each length n the characters inside n-grams that began earlier in the same text are marked and counted;
-the same is done with whole lines. Everything is one pass over each text, no shuffle but the one that counts each id once.
+the same is done with whole lines. Everything is one pass over each text, no shuffle but of the ids found.
 """
 
 from __future__ import annotations
@@ -105,6 +105,6 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of repeated content by n-gram length and by line, for every output and answer."""
-    m = repetition(c.outputs_and_answers(spark, sf_dir))
+    m = repetition(c.outputs_and_answers(spark, sf_dir)).distinct()  # deliveries of a record have the same measures
     share = [F.round(F.col(f"rep_{n}") / F.col("n_letters"), 4).alias(f"share_{n}") for n in (12, 24, 48)]
     return m.select("src", "rec_id", "n_letters", *share, F.round(F.col("rep_line_chars") / F.col("line_chars"), 4).alias("share_lines"))
