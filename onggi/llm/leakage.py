@@ -60,7 +60,7 @@ def _add_sketch(sketch: np.ndarray, f: np.ndarray, idf: np.ndarray, first: int)
     weight = weight / np.maximum(norm[passage], 1e-9)
     seed = np.arange(first, first + len(norm), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for k in range(4):
-        h = (seed ^ np.uint64(k + 1) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (seed ^ np.uint64((k + 1) * 0xD6E8FEB86659FD93 & 2**64 - 1)) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(33)
         row = (h % np.uint64(SKETCH)).astype(np.int64)
         sign = 1.0 - 2.0 * ((h >> np.uint64(20)) & np.uint64(1)).astype(np.float64)

@@ -65,7 +65,7 @@ def verb_ending(word: str) -> float:
         if two == "시다" and len(word) > 2 and _batchim(word[-3]) == 17:
             return 2.5
         return 0
-    if last == "요" and word[-2] in "어아해예에돼세네데져여워와봐까죠지려게군나줘":
+    if last == "요" and word[-2] in "어아해예에돼세네데져여워와봐까죠지려게군나줘래":
         return 2.5
     if two in ("시오", "세요") or last == "죠":
         return 2.5

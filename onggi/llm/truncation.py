@@ -206,7 +206,7 @@ class Endings:
             if verb_ending(stem) >= 1:
                 return at_limit and not marked
             sentence = any(_PARTICLE.search(w) for w in words[:-1] if len(w) > 1)
-            short = len(words) <= 3 and len(rest) <= 24 or bool(_NUMBER.match(rest))
+            short = len(words) <= 3 and len(rest) <= 24 and not (marked and sentence) or bool(_NUMBER.match(rest))
             if label and not answer:
                 whole = not sentence and (self._closes("entry", stem) or re.search("[음함됨임]$", stem) is not None)
                 return not whole or at_limit
