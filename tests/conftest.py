@@ -14,6 +14,6 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('checkpoints')}")
         .getOrCreate()
     )
-    s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()
