@@ -25,6 +25,11 @@ def any_of(words: Iterable[str]) -> str:
     return "(?:" + "|".join(words) + ")"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value evaluated once: inside a lambda an outer expression would be evaluated for every element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def strip(x: ColumnLike) -> Column:
     """Without white space at the ends, of any kind."""
     return F.regexp_replace(col(x), r"(?U)^\s+|\s+$", "")
@@ -211,15 +216,14 @@ def translated(features: Column, least: int = 3, thresholds: dict[str, float] |
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    return F.when(F.size(tokens) < n, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, n))))
+    grams = lambda t: F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(t, i, n)))
+    return let(tokens, lambda t: F.when(F.size(t) >= n, grams(t)).otherwise(F.array().cast("array<string>")))
 
 
 def repeats_ngram(x: ColumnLike, n: int = 4, times: int = 3) -> Column:
     """Whether some n-gram of words stands ``times`` times: in sorted order it then meets itself; short texts never do."""
-    tokens = words(x)
-    grams = F.array_sort(ngrams(tokens, n))
-    far = F.size(grams) - (times - 1)
-    return F.when(F.size(tokens) < n * times, False).otherwise(F.exists(F.sequence(F.lit(1), F.greatest(far, F.lit(1))), lambda i: F.coalesce(F.try_element_at(grams, i) == F.try_element_at(grams, i + (times - 1)), F.lit(False))))
+    met = lambda g: F.size(F.filter(F.zip_with(g, F.slice(g, F.lit(times), F.greatest(F.size(g), F.lit(1))), lambda a, b: a == b), lambda e: e)) > 0
+    return let(words(x), lambda t: (F.size(t) >= n * times) & let(F.array_sort(ngrams(t, n)), met))
 
 
 def follows_format(x: ColumnLike, kind: ColumnLike) -> Column:

@@ -51,7 +51,7 @@ def mean_cosine(df: DataFrame, embedding: str = "embedding") -> DataFrame:
 def confusion(df: DataFrame, score: ColumnLike, gold: ColumnLike, cuts: list[int]) -> DataFrame:
     """(cut, tp, fp, fn, tn, precision, recall, f1) of ``score >= cut`` for each cut, in one pass."""
     hit, true = col(score), col(gold)
-    rows = df.select(F.explode(F.array(*map(F.lit, cuts))).alias("cut"), hit.alias("s"), true.alias("t"))
+    rows = df.select(hit.alias("s"), true.alias("t")).withColumn("cut", F.explode(F.array(*map(F.lit, cuts))))
     said = F.col("s") >= F.col("cut")
     out = rows.groupBy("cut").agg(F.count_if(said & F.col("t")).alias("tp"), F.count_if(said & ~F.col("t")).alias("fp"), F.count_if(~said & F.col("t")).alias("fn"), F.count_if(~said & ~F.col("t")).alias("tn"))
     ratio = lambda a, b: F.when(b > 0, F.round(a / b, 6))
@@ -61,7 +61,7 @@ def confusion(df: DataFrame, score: ColumnLike, gold: ColumnLike, cuts: list[int
 
 def leave_one_out(df: DataFrame, fired: ColumnLike, gold: ColumnLike, names: list[str], least: int = 3) -> DataFrame:
     """(left_out, f1): F1 of the composite flag without each feature, and with all ("none")."""
-    rows = df.select(F.explode(F.array(*map(F.lit, ["none", *names]))).alias("left_out"), col(fired).alias("fired"), col(gold).alias("t"))
+    rows = df.select(col(fired).alias("fired"), col(gold).alias("t")).withColumn("left_out", F.explode(F.array(*map(F.lit, ["none", *names]))))
     said = F.size(F.filter("fired", lambda x: x != F.col("left_out"))) >= least
     out = rows.groupBy("left_out").agg(F.count_if(said & F.col("t")).alias("tp"), F.count_if(said & ~F.col("t")).alias("fp"), F.count_if(~said & F.col("t")).alias("fn"))
     return out.select("left_out", F.when(F.col("tp") + F.col("fp") + F.col("fn") > 0, F.round(2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn")), 6)).alias("f1"))
