@@ -109,11 +109,12 @@ def token_set(x: ColumnLike) -> Column:
 
 def overlap(source: Column, answer: Column) -> Column:
     """Share of the source's set that the answer has; 1 for an empty source."""
-    return F.when(F.size(source) == 0, 1.0).otherwise(F.size(F.array_intersect(source, answer)) / F.size(source))
+    return let(source, lambda s: F.when(F.size(s) == 0, 1.0).otherwise(F.size(F.array_intersect(s, answer)) / F.size(s)))
 
 
 def jaccard(a: Column, b: Column, empty: float = 0.0) -> Column:
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), empty).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
+    share = lambda x, y: F.when((F.size(x) == 0) | (F.size(y) == 0), empty).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda v: share(v["a"], v["b"]))
 
 
 def sentences(x: ColumnLike) -> Column:
@@ -158,20 +159,21 @@ def register_counts(levels: Column) -> Column:
 
 def register_summary(levels: Column) -> Column:
     """struct(score, dominant, n): the first most frequent level, its share, and how many sentences have a level."""
-    counts = [_occurrences(levels, k) for k in p.REGISTERS]
-    n, most = sum(counts[1:], counts[0]), F.greatest(*counts)
-    dominant = F.when(n == 0, None)
-    for level, count in zip(p.REGISTERS, counts):
-        dominant = dominant.when(count == most, level)
-    return F.struct(F.when(n == 0, 1.0).otherwise(most / n).alias("score"), dominant.alias("dominant"), n.alias("n"))
+
+    def summary(counts: Column) -> Column:
+        n, most = F.aggregate(counts, F.lit(0), lambda a, c: a + c), F.array_max(counts)
+        dominant = F.get(F.array(*map(F.lit, p.REGISTERS)), (F.array_position(counts, most) - 1).cast("int"))
+        return F.struct(F.when(n == 0, 1.0).otherwise(most / n).alias("score"), F.when(n > 0, dominant).alias("dominant"), n.alias("n"))
+
+    return let(levels, lambda v: let(F.array(*(_occurrences(v, k) for k in p.REGISTERS)), summary))
 
 
 def register_consistent(summary: Column, threshold: float = 0.8, least: int = 2) -> Column:
-    return (summary["n"] < least) | (summary["score"] >= threshold)
+    return let(summary, lambda r: (r["n"] < least) | (r["score"] >= threshold))
 
 
 def register_is(summary: Column, target: Column | str) -> Column:
-    return F.coalesce((summary["n"] > 0) & (summary["dominant"] == target), F.lit(False))
+    return F.coalesce(let(summary, lambda r: (r["n"] > 0) & (r["dominant"] == target)), F.lit(False))
 
 
 _AFTER = r"(?![\p{L}\p{N}_])"  # the end of a word
@@ -190,25 +192,28 @@ TRANSLATION_PATTERNS = {
 def translation_features(x: ColumnLike) -> Column:
     """struct of the nine features of translated text; zeros for an empty one."""
     text = col(x)
-    split = sentences(text)
-    n = F.greatest(F.size(split), F.lit(1))
     chars = F.greatest(F.length(text), F.lit(1))
     count = lambda name: F.regexp_count(text, F.lit("(?U)" + TRANSLATION_PATTERNS[name]))
-    thing = F.size(F.filter(split, lambda s: F.concat(s, F.lit(".")).rlike("(?U)" + TRANSLATION_PATTERNS["thing_end_ratio"])))
-    out = {name: 100.0 * count(name) / chars for name in p.THRESHOLDS if name.endswith("_100c")}
-    out |= {
-        "connective_per_sent": count("connective_per_sent") / n,
-        "thing_end_ratio": thing / n,
-        "chain_deep_count": count("chain_deep_count").cast("double"),
-        "sent_len_mean": F.aggregate(split, F.lit(0), lambda a, s: a + F.length(s)) / n,
-    }
-    return F.struct(*(out[name].alias(name) for name in p.THRESHOLDS))
+    thing = lambda s: F.concat(s, F.lit(".")).rlike("(?U)" + TRANSLATION_PATTERNS["thing_end_ratio"])
+
+    def features(split: Column) -> Column:
+        n = F.greatest(F.size(split), F.lit(1))
+        out = {name: 100.0 * count(name) / chars for name in p.THRESHOLDS if name.endswith("_100c")}
+        out |= {
+            "connective_per_sent": count("connective_per_sent") / n,
+            "thing_end_ratio": F.size(F.filter(split, thing)) / n,
+            "chain_deep_count": count("chain_deep_count").cast("double"),
+            "sent_len_mean": F.aggregate(split, F.lit(0), lambda a, s: a + F.length(s)) / n,
+        }
+        return F.struct(*(out[name].alias(name) for name in p.THRESHOLDS))
+
+    return let(sentences(text), features)
 
 
 def fired(features: Column, thresholds: dict[str, float] | None = None) -> Column:
     """Names of the features above their thresholds."""
     limits = thresholds or p.THRESHOLDS
-    return F.filter(F.array(*(F.when(features[name] > limits[name], F.lit(name)) for name in p.THRESHOLDS)), lambda v: v.isNotNull())
+    return let(features, lambda f: F.filter(F.array(*(F.when(f[name] > limits[name], F.lit(name)) for name in p.THRESHOLDS)), lambda v: v.isNotNull()))
 
 
 def translated(features: Column, least: int = 3, thresholds: dict[str, float] | None = None) -> Column:
@@ -276,8 +281,8 @@ def useful_critique(x: ColumnLike, least: int = 30) -> Column:
 
 
 def meaningful_revision(first: ColumnLike, revised: ColumnLike, far: float = 0.15) -> Column:
-    a, b = token_set(first), token_set(revised)
-    return F.coalesce((F.size(a) > 0) & (F.size(b) > 0) & (strip(first) != strip(revised)) & (1 - jaccard(a, b) >= far), F.lit(False))
+    changed = jaccard(token_set(first), token_set(revised), empty=2.0)  # an empty side is never far enough
+    return F.coalesce((strip(first) != strip(revised)) & (1 - changed >= far), F.lit(False))
 
 
 def acceptable_revision(first: ColumnLike, critique: ColumnLike, revised: ColumnLike, min_hangul: float = 0.7) -> Column:
@@ -286,8 +291,7 @@ def acceptable_revision(first: ColumnLike, critique: ColumnLike, revised: Column
 
 def grounded(answer: ColumnLike, source: ColumnLike, above: float = 0.1) -> Column:
     """Whether more than that share of the source's content words stands in the answer; an empty source is no obstacle."""
-    src = content_words(F.coalesce(col(source), F.lit("")))
-    return (F.size(src) == 0) | (overlap(src, content_words(answer)) > above)
+    return overlap(content_words(F.coalesce(col(source), F.lit(""))), content_words(answer)) > above
 
 
 def strictly_faithful(lex: ColumnLike, pmi: ColumnLike, nli_margin: ColumnLike, tau_lex: float = 0.05, tau_pmi: float = 2.0, margin: float = 0.5) -> Column:
