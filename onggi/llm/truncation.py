@@ -7,8 +7,8 @@
 2. Endings: what follows the last whole sentence is inspected. Which words close sentences and list entries is counted
    over the whole corpus into a table of fixed size (hashed), not listed.
 3. A text is cut if it ends in a broken character or escape, within a quotation or bracket, within a number, word or
-   sentence; at its source's limit it is cut unless a final mark closes it. Labels, short answers, list entries and
-   sentences that only lack their mark are whole.
+   sentence; a doubtful ending (a short phrase, a word that closes sentences only sometimes) is a cut at its source's
+   limit and none elsewhere. Labels, short answers, list entries and sentences that only lack their mark are whole.
 """
 
 from __future__ import annotations
@@ -204,31 +204,30 @@ class Endings:
             return True
         if "가" <= stem[-1:] <= "힣":
             if verb_ending(stem) >= 1:
-                return at_limit and not marked
+                return False  # a sentence that only lacks its mark
             sentence = any(_PARTICLE.search(w) for w in words[:-1] if len(w) > 1)
             short = len(words) <= 3 and len(rest) <= 24 and not (marked and sentence) or bool(_NUMBER.match(rest))
             if label and not answer:
-                whole = not sentence and (self._closes("entry", stem) or re.search("[음함됨임]$", stem) is not None)
-                return not whole or at_limit
+                return sentence or not (self._closes("entry", stem) or re.search("[음함됨임]$", stem))
             if answer or alone:
                 return (not short and (sentence or len(words) > 4)) or at_limit
             return True
         if re.search(r"[฀-๿]", stem[-1:]):
             run = re.search(r"[฀-๿]+$", stem).group()[-4:]
-            return not self._closes("thai", run, 0.0, 3) or at_limit
+            return not self._closes("thai", run, 0.0, 3)
         if re.search(r"[぀-ヿ一-鿿ऀ-ॿ]", stem[-1:]):
             return not (alone and len(rest) <= 6)
         short = len(words) <= 3 and len(rest) <= 24 or bool(_NUMBER.match(rest))
         if (answer or alone) and short:
             return at_limit
         if label and not answer and self._closes("entry", stem) and not any(_PARTICLE.search(w) for w in words[:-1]):
-            return at_limit
+            return False
         if stem[:1].isupper() and body.count(stem) > 1 and len(words) > 1 and words[-2] == "from":
             return at_limit
         word = _key(stem)
         if re.search("[가-힣]", rest) and not re.search("[a-z]{2,} [a-z]{2,}", rest):
             return True
-        return not self._closes("word", word, 0.4) or at_limit
+        return not self._closes("word", word, 0.9 if at_limit else 0.4)
 
 
 def learned(texts: DataFrame) -> tuple[np.ndarray, DataFrame]:
