@@ -37,6 +37,16 @@ def _features(text: str) -> np.ndarray:
     return (rolling(points, PIECE) >> np.uint64(40)).astype(np.int64) % FEATURES
 
 
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of many texts at once, one after the other: (features, where each text begins, how many it has)."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    many = np.maximum(sizes - PIECE + 1, 0)
+    every = _features("".join(texts))
+    owner = np.repeat(np.arange(len(texts)), many)
+    starts = np.cumsum(many) - many
+    return every[(np.cumsum(sizes) - sizes)[owner] + np.arange(len(owner)) - starts[owner]], starts, many
+
+
 def _plain(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [c.letters(t) if t else "" for t in batch.column(column).to_pylist()]
 
@@ -51,29 +61,33 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["feature", "n"])
 
 
-def _add_sketch(sketch: np.ndarray, f: np.ndarray, idf: np.ndarray, first: int) -> None:
-    """Adds the TF-IDF rows of non-overlapping passages of 60 pieces to the sketch: each to four of its rows with random signs."""
-    n = len(f) // 60 * 60 or len(f)
-    passage = np.arange(n) // 60
-    weight = idf[f[:n]]
-    norm = np.sqrt(np.bincount(passage, weight * weight))
-    weight = weight / np.maximum(norm[passage], 1e-9)
-    seed = np.arange(first, first + len(norm), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def _add_sketch(sketch: np.ndarray, texts: list[str], ids: list[int], idf: np.ndarray) -> None:
+    """Adds the TF-IDF rows of passages of 60 pieces (the last of a text is shorter) to the sketch: each to four of its rows with random signs."""
+    f, starts, many = _joined(texts)
+    if not len(f):
+        return
+    owner = np.repeat(np.arange(len(texts)), many)
+    within = (np.arange(len(f)) - starts[owner]) // 60
+    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (within[1:] != within[:-1])])
+    passage = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(f)]))
+    weight = idf[f]
+    weight = weight / np.maximum(np.sqrt(np.bincount(passage, weight * weight))[passage], 1e-9)
+    seed = (np.array(ids, np.uint64)[owner[first]] * np.uint64(1_000_003) + within[first].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     for k in range(4):
         h = (seed ^ np.uint64((k + 1) * 0xD6E8FEB86659FD93 & 2**64 - 1)) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(33)
         row = (h % np.uint64(SKETCH)).astype(np.int64)
         sign = 1.0 - 2.0 * ((h >> np.uint64(20)) & np.uint64(1)).astype(np.float64)
-        np.add.at(sketch.reshape(-1), row[passage] * FEATURES + f[:n], weight * sign[passage])
+        np.add.at(sketch.reshape(-1), row[passage] * FEATURES + f, weight * sign[passage])
 
 
 def _sketches(idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros((SKETCH, FEATURES))
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), _plain(batch)):
-                if len(f := _features(text)):
-                    _add_sketch(sketch, f, idf, (doc or 0) * 1_000_003 & 0xFFFFFFFF)
+            ids, texts = [(x or 0) & 0x7FFFFFFFFFFF for x in batch.column("doc_id").to_pylist()], _plain(batch)
+            for k in range(0, len(texts), 200):
+                _add_sketch(sketch, texts[k : k + 200], ids[k : k + 200], idf)
         rows = np.flatnonzero(sketch.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array([x.astype(np.float32).tobytes() for x in sketch[rows]], pa.binary())], ["row", "values"])
 
@@ -93,20 +107,23 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
 
 
+def _vectors(f: np.ndarray, starts: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """Unit vectors of the windows that begin at these places: sums by running totals, in blocks that keep them small."""
+    wide = WINDOW - PIECE + 1
+    out = np.empty((len(starts), space.shape[1]), np.float32)
+    for k in range(0, len(starts), 256):
+        s = starts[k : k + 256]
+        total = np.zeros((s[-1] + wide - s[0] + 1, space.shape[1]))
+        np.cumsum(space[f[s[0] : s[-1] + wide]], 0, dtype=np.float64, out=total[1:])
+        sums = total[s - s[0] + wide] - total[s - s[0]]
+        out[k : k + 256] = _unit(sums)
+    return out
+
+
 def windows(text: str, space: np.ndarray, step: int) -> np.ndarray:
     """Unit vectors in the latent space of the windows of a text of letters, one every ``step`` letters."""
     f = _features(text)
-    wide = WINDOW - PIECE + 1
-    starts = np.arange(0, max(len(f) - wide + 1, 0), step)
-    if not len(starts):
-        return np.empty((0, space.shape[1]), np.float32)
-    parts = []
-    for k in range(0, len(starts), 512):  # sums by running totals, in blocks that keep them small
-        s = starts[k : k + 512]
-        total = np.cumsum(space[f[s[0] : s[-1] + wide]], 0, dtype=np.float64)
-        total = np.concatenate([np.zeros((1, space.shape[1])), total])
-        parts.append(total[s - s[0] + wide] - total[s - s[0]])
-    return _unit(np.concatenate(parts)).astype(np.float32)
+    return _vectors(f, np.arange(0, max(len(f) - (WINDOW - PIECE), 0), step), space)
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -146,40 +163,35 @@ def _search(items: list[tuple[int, str]], space: np.ndarray, near: float, run_le
     own = [windows(t, space, STRIDE) for _, t in items]
     queries = np.concatenate(own) if own else np.empty((0, space.shape[1]), np.float32)
     owner = np.repeat(np.arange(len(items)), [len(x) for x in own])
-    edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, np.int64)
-    holders = owner[edges] if len(owner) else owner
     numbers = [set(_NUMBERS.findall(t)) for _, t in items]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, texts = batch.column("doc_id").to_pylist(), _plain(batch)
             rows: list[tuple] = []
-            pending: list[tuple[int, np.ndarray]] = []
-            held = 0
-            for n, text in enumerate(texts):
-                v = windows(text, space, STEP)
-                if len(v):
-                    pending.append((n, v))
-                    held += len(v)
-                if held >= 1500 or (n == len(texts) - 1 and held):
-                    rows += _hits(pending, docs, texts)
-                    pending, held = [], 0
+            for low in range(0, len(texts), 50):
+                rows += _hits(docs[low : low + 50], texts[low : low + 50])
             cols = list(zip(*rows)) if rows else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "item_id", "run", "cosine", "lcs", "numbers"])
 
-    def _hits(pending: list, docs: list, texts: list) -> list[tuple]:
-        if not len(queries):
+    def _hits(docs: list, texts: list[str]) -> list[tuple]:
+        f, starts, many = _joined(texts)
+        count = np.maximum(many - (WINDOW - PIECE) + STEP - 1, 0) // STEP
+        which = np.repeat(np.arange(len(texts)), count)
+        if not len(queries) or not len(which):
             return []
-        which = np.repeat([n for n, _ in pending], [len(v) for _, v in pending])
-        place = np.concatenate([np.arange(len(v)) for _, v in pending])
-        best = np.maximum.reduceat(np.concatenate([v for _, v in pending]) @ queries.T, edges, axis=1)
-        w, q = np.nonzero(best >= near)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        vectors = _vectors(f, starts[which] + place * STEP, space)
         out, seen = [], {}
-        for i, k in zip(w.tolist(), q.tolist()):
-            key = (int(which[i]), int(holders[k]))
-            low, high, top = seen.get(key, (place[i], place[i], 0.0))
-            seen[key] = (min(low, place[i]), max(high, place[i]), max(top, float(best[i, k])))
+        for low in range(0, len(vectors), 256):  # a block of cosines stays in the cache
+            cosines = vectors[low : low + 256] @ queries.T
+            at = np.flatnonzero(cosines >= near)
+            w, q = np.divmod(at, len(queries))
+            for i, k, value in zip((w + low).tolist(), owner[q].tolist(), cosines.reshape(-1)[at].tolist()):
+                key = (int(which[i]), k)
+                first, last, top = seen.get(key, (place[i], place[i], 0.0))
+                seen[key] = (min(first, place[i]), max(last, place[i]), max(top, value))
         for (n, k), (low, high, top) in seen.items():
             item, text = items[k][1], texts[n]
             around = text[max(0, low * STEP - len(item)) : high * STEP + WINDOW + len(item)]
@@ -203,9 +215,7 @@ def latent_space(docs: DataFrame, items: list[tuple[int, str]]) -> np.ndarray:
     sketch = np.zeros((SKETCH, FEATURES))
     for row, values in summed.collect():  # at most SKETCH rows of fixed size
         sketch[row] += np.frombuffer(values, np.float32)
-    for n, text in items:
-        if len(f := _features(text)):
-            _add_sketch(sketch, f, idf, n)
+    _add_sketch(sketch, [t for _, t in items], [n & 0x7FFFFFFFFFFF for n, _ in items], idf)
     # right singular vectors from the small Gram matrix
     values, left = np.linalg.eigh(sketch @ sketch.T)
     top = np.argsort(-values)[:RANK]
