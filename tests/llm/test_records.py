@@ -179,3 +179,35 @@ def test_leaks_are_those_of_brute_force(spark):
 def test_common_subsequence():
     assert leakage.common_subsequence("abcde", "xaxcxe") == 3 and leakage.common_subsequence("가나다", "") == 0
     assert leakage.longest_run("0123456789" * 2, "ab0123456789c", 8) == 10
+
+
+def test_paraphrases_are_those_of_brute_force(spark, tmp_path):
+    rng = random.Random(12)
+    items = {k: sentence(rng, 14) for k in range(12)} | {k: " ".join(rng.choice(WORDS) for _ in range(26)) for k in range(12, 20)}
+    docs = {}
+    for d in range(60):
+        words = items[d % 20].split()
+        for k in range(rng.randrange(4), len(words), 3 + d % 3):  # a changed word in most windows, the numbers kept
+            words[k] = "".join(chr(rng.randrange(0xAC00, 0xD7A3)) for _ in range(3)) + "".join(x for x in words[k] if x.isdigit())
+        docs[d] = sentence(rng, rng.randrange(1, 30)) + " " + " ".join(words) + " " + sentence(rng, rng.randrange(1, 30))
+    docs |= {100: items[0], 101: "", 102: "w" * 300, 103: docs[1]}
+
+    def best(doc, item):
+        a, b = c.letters(doc), c.letters(item)
+        said = [(m.group(), m.start(), m.end()) for m in leakage._NUMBERS.finditer(a)]
+        low_high = [(max(0, k - len(b)), k + leakage.WINDOW + len(b)) for k in range(0, max(1, len(a)), leakage.STEP)]
+        stretches = [(i, j) for i, j in low_high if set(leakage._NUMBERS.findall(b)) <= {x for x, u, v in said if i <= u and v <= j}]
+        return max((leakage.common_subsequence(b, a[i:j]) for i, j in stretches), default=0) / len(b)
+
+    def verbatim(doc, item, n=60):
+        a, b = c.letters(doc), c.letters(item)
+        return any(b[k : k + n] in a for k in range(len(b) - n + 1))
+
+    want = {(d, k, round(x, 6)) for d, t in docs.items() for k, i in items.items() if (x := best(t, i)) >= 0.7 and not verbatim(t, i)}
+    assert len({d for d, _, _ in want}) > 30
+    spark.createDataFrame([*docs.items(), (104, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([*items.items(), (99, None), (98, "")], "item_id bigint, text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    assert {tuple(r) for r in leakage.p8_paraphrased(spark, str(tmp_path)).collect()} == want
+    left, right = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("documents", "eval_items"))
+    assert {tuple(r) for r in leakage.paraphrases(left, right, block=7).collect()} == want
+    assert leakage.paraphrases(left.limit(0), right).count() == leakage.paraphrases(left, right.limit(0)).count() == 0
