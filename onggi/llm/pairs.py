@@ -152,7 +152,7 @@ def turn_defects(chats: DataFrame, *, small: int = 20_000) -> DataFrame:
     one. Null and empty messages have no turns, a null question is no copy and has no language; repeated rows give
     their turns again; other columns are ignored.
     """
-    said = chats.select("source", F.explode(F.expr("transform(filter(messages, m -> m.role = 'assistant'), m -> m.content)")).alias("text")).where("text is not null")
+    said = c.once(chats.select("chat_id", "source", "messages"), "chat_id").select("source", F.explode(F.expr("transform(filter(messages, m -> m.role = 'assistant'), m -> m.content)")).alias("text")).where("text is not null")
     closing, limits = learned(said)
     turns = F.explode(
         F.expr(

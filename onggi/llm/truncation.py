@@ -5,7 +5,8 @@
    by source and encoding. Where the lengths of a source pile up at one value far above the values before it and hardly any
    are longer, a storage limit shows; the encoding with the highest pile is the one the store counts in.
 2. Endings: what follows the last whole sentence is inspected. Which words close sentences and list entries is counted
-   over the whole corpus into a table of fixed size (hashed), not listed.
+   over the whole corpus into a table of fixed size (hashed), not listed; the end of a text, which may be a cut, isn't
+   counted. Shares of a word's own occurrences decide, so the size of the corpus doesn't.
 3. A text is cut if it ends in a broken character or escape, within a quotation or bracket, within a number, word or
    sentence; a doubtful ending (a short phrase, a word that closes sentences only sometimes) is a cut at its source's
    limit and none elsewhere. Labels, short answers, list entries and sentences that only lack their mark are whole.
@@ -28,7 +29,7 @@ from . import common as c
 from .sentences import _LABEL, ABBREVIATIONS, CLOSERS, verb_ending
 
 BUCKETS = 1 << 16
-KINDS = {"word": 0, "entry": 1, "thai": 2}
+KINDS = {"word": 0, "entry": 1, "thai": 2, "part": 3}  # part: beginnings of the words of list entries
 
 _BROKEN = re.compile(r"(?:\ufffd+|\\u[0-9a-fA-F]{0,3}|\\[a-zA-Z]*|&#?[a-zA-Z0-9]{0,6})\s*$")
 _TAIL = re.compile(r"(?:\s|\ufffd|…|\.{2,}|\\u[0-9a-fA-F]{0,3}$|\\[a-zA-Z]?$|&#?[a-zA-Z0-9]{0,6}$|[​‌‍⁠\ufeff])+$")
@@ -37,7 +38,7 @@ _ELLIPSIS = re.compile(r"(?:…|\.{2,})\s*$")
 _SENTENCE_MARK = re.compile(r"[.!?…。！？।॥]")
 _BREAK = re.compile(r"[.!?…。।](?:\s?\^\^|~)?[\"”’」』)]*\s+")
 _LATIN_WORDS = re.compile(r"[A-Za-z]{3},? [a-z]{2}")
-_THAI, _THAI_END = re.compile("[\u0e00-\u0e7f]"), re.compile(r"([\u0e00-\u0e7f]{2,4})(?=\s+[\u0e00-\u0e7f])")
+_THAI = re.compile(r"[\u0e00-\u0e7f]{2,}(\s+(?=[\u0e00-\u0e7f])|\s*$)?")
 _PARTICLE = re.compile(r"(?:[은는이가을를]|에서|에는|에도|에게|으로|까지|부터|보다|마다|처럼)[,…]?$")
 _ANSWER = re.compile(r"(?:(?:최종|정)?\s?답(?:변)?\s*[:은]|####|answer\s*:)\s*(.*)$", re.I)
 _OPTION = re.compile(r"\(?[A-Ja-e가나다라마①-⑩]\)?[.)]?$")
@@ -79,7 +80,7 @@ def _key(word: str) -> str:
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, source, key, a, b): counts of closing and other words by bucket, and of lengths by source and encoding."""
-    latin, last, other, thai, sizes = Counter(), Counter(), Counter(), Counter(), Counter()
+    latin, last, other, thai, within, sizes = Counter(), Counter(), Counter(), Counter(), Counter(), Counter()
     for batch in batches:
         texts, sources = batch.column("text").to_pylist(), batch.column("source").to_pylist()
         bare = [without_tail(t) for t in texts]
@@ -89,16 +90,21 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for n, many in zip(*(x.tolist() for x in np.unique(own[:, k], return_counts=True))):
                     sizes[source, name, n] += many
         for text in texts:
-            for line in c.canon(text).split("\n"):
-                label = _LABEL.match(line)
+            lines = c.canon(text).rstrip().split("\n")
+            for k, line in enumerate(lines, 1):
+                label, final = _LABEL.match(line), k == len(lines)  # the end of the text may be a cut: nothing is learned from it
                 if label and not _SENTENCE_MARK.search(line, label.end()):
                     if not _ANSWER.match(line) and (parts := line[label.end() :].split()):
-                        last[parts.pop()] += 1
+                        end = parts.pop()
+                        last[end] += not final
                         other.update(parts)
                 elif _LATIN_WORDS.search(line):
-                    latin.update(line.split())
+                    latin.update(line.split()[: -1 if final else None])
                 elif _THAI.search(line):
-                    thai.update(_THAI_END.findall(line))
+                    for m in _THAI.finditer(line):
+                        run = m.group().rstrip()
+                        within.update(run[max(0, j - 4) : j] for j in range(2, len(run)))
+                        thai[run[-4:]] += m.group(1) is not None and not (final and m.end() == len(line))
     words: Counter = Counter()
     for w, n in latin.items():
         bare_word = w.strip(".,!?…" + CLOSERS + "“‘「")
@@ -107,9 +113,13 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for side, counted in ((0, last), (1, other)):
         for w, n in counted.items():
             words["entry", _bucket(w), side] += n
-    for w, n in thai.items():
-        words["thai", _bucket(w[-4:]), 0] += n
-    rows = [(k, "", str(b), n if side == 0 else 0, n if side else 0) for (k, b, side), n in words.items()]
+    for w in {*last, *other}:
+        for k in range(1, len(w)):
+            words["part", _bucket(w[:k]), 1] += last[w] + other[w]
+    for side, counted in ((0, thai), (1, within)):
+        for w, n in counted.items():
+            words["thai", _bucket(w), side] += n
+    rows = [(k, "", str(b), n if side == 0 else 0, n if side else 0) for (k, b, side), n in words.items() if n]
     rows += [("len", s, f"{name} {n}", count, 0) for (s, name, n), count in sizes.items()]
     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["kind", "source", "key", "a", "b"])
 
@@ -133,9 +143,14 @@ class Endings:
     def __init__(self, closing: np.ndarray):
         self.closing = closing
 
-    def _closes(self, kind: str, word: str, share: float = 0.5, least: int = 3) -> bool:
-        yes, no = self.closing[KINDS[kind], _bucket(word)]
-        return yes >= least and yes >= share * (yes + no)
+    def _closes(self, kind: str, word: str, share: float) -> bool | None:
+        """Whether it closes at least this share of its own occurrences; None if it never occurred."""
+        yes, no = self.closing[KINDS[kind], _bucket(word)].tolist()
+        return yes >= share * (yes + no) if yes + no else None
+
+    def _closes_entry(self, word: str, at_limit: bool) -> bool:
+        closes = self._closes("entry", word, 0.9 if at_limit else 0.5)
+        return not at_limit and self._closes("part", word, 0.5) is None if closes is None else closes
 
     def cut(self, text: str | None, at_limit: bool = False) -> bool:
         """True if the text stops within a word or a sentence. Null, blank and letterless texts, labels and short answers are whole."""
@@ -208,19 +223,20 @@ class Endings:
             sentence = any(_PARTICLE.search(w) for w in words[:-1] if len(w) > 1)
             short = len(words) <= 3 and len(rest) <= 24 and not (marked and sentence) or bool(_NUMBER.match(rest))
             if label and not answer:
-                return sentence or not (self._closes("entry", stem) or re.search("[음함됨임]$", stem))
+                return sentence or not (self._closes_entry(stem, at_limit) or re.search("[음함됨임]$", stem))
             if answer or alone:
                 return (not short and (sentence or len(words) > 4)) or at_limit
             return True
         if re.search(r"[฀-๿]", stem[-1:]):
             run = re.search(r"[฀-๿]+$", stem).group()[-4:]
-            return not self._closes("thai", run, 0.0, 3)
+            closes = self._closes("thai", run, 0.9 if at_limit else 0.5)
+            return at_limit if closes is None else not closes
         if re.search(r"[぀-ヿ一-鿿ऀ-ॿ]", stem[-1:]):
             return not (alone and len(rest) <= 6)
         short = len(words) <= 3 and len(rest) <= 24 or bool(_NUMBER.match(rest))
         if (answer or alone) and short:
             return at_limit
-        if label and not answer and self._closes("entry", stem) and not any(_PARTICLE.search(w) for w in words[:-1]):
+        if label and not answer and self._closes_entry(stem, at_limit) and not any(_PARTICLE.search(w) for w in words[:-1]):
             return False
         if stem[:1].isupper() and body.count(stem) > 1 and len(words) > 1 and words[-2] == "from":
             return at_limit
@@ -234,7 +250,7 @@ def learned(texts: DataFrame) -> tuple[np.ndarray, DataFrame]:
     """The counts of closing words, and (source, encoding, most): the storage limits that the lengths show."""
     counts = c.cut(texts.mapInArrow(_learn, "kind string, source string, key string, a bigint, b bigint").groupBy("kind", "source", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     closing = np.zeros((len(KINDS), BUCKETS, 2), np.int64)
-    for kind, key, a, b in counts.where("kind <> 'len'").select("kind", "key", "a", "b").collect():  # at most 3 x BUCKETS rows
+    for kind, key, a, b in counts.where("kind <> 'len'").select("kind", "key", "a", "b").collect():  # at most 4 x BUCKETS rows
         closing[KINDS[kind], int(key)] = a, b
     size = counts.where("kind = 'len'").select("source", F.split("key", " ")[0].alias("encoding"), F.split("key", " ")[1].cast("int").alias("n"), F.col("a").alias("rows"))
     by = Window.partitionBy("source", "encoding").orderBy("n")
@@ -252,7 +268,7 @@ def truncated(df: DataFrame, *, small: int = 20_000) -> DataFrame:
     several rows; other columns are ignored. The limits are broadcast up to ``small`` rows and joined beyond.
     """
     texts = df.where("text is not null").select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "text", "source")
-    closing, limits = learned(texts)
+    closing, limits = learned(texts.distinct())  # each delivery once
     shared = df.sparkSession.sparkContext.broadcast(closing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,6 +66,18 @@ def test_endings(spark):
     assert not e.cut(None)
 
 
+@pytest.mark.parametrize("times", [1, 40])
+def test_endings_are_judged_by_shares_at_any_size(spark, times):
+    thai = "เมื่อระดับน้ำเพิ่มขึ้นต้องปรับใหม่ อุปกรณ์ถูกตรวจวัด เมื่ออุปกรณ์ถูกใช้ต้องปรับใหม่ อุปกรณ์ ถูกใช้"
+    corpus = [thai, "1. 수온 점검\n2. 유량 점검\n3. 결"] * times
+    df = spark.createDataFrame([("c", k, t, None) for k, t in enumerate(corpus)], "src string, rec_id bigint, text string, source string")
+    e = truncation.Endings(truncation.learned(df)[0])
+    assert not e.cut("อุปกรณ์ถูกใช้ต้องปรับใหม่") and not e.cut("1. 유량 점검\n2. 수온 점검")
+    assert e.cut("เมื่อระดับน้ำเพิ่มขึ้นต้อง") and e.cut("1. 수온 점검\n2. 유")
+    for unseen in ("ข้อความนี้ไม่มีที่ไหน", "1. 수온 점검\n2. 결"):  # an ending that was never seen is a cut at a limit only
+        assert e.cut(unseen, True) and not e.cut(unseen)
+
+
 def test_a_storage_limit_shows(spark):
     rng = random.Random(1)
     full = ["".join(rng.choice("가나다라마바사 ") for _ in range(rng.randrange(60, 400))) + " 했습니다." for _ in range(300)]
