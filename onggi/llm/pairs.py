@@ -110,7 +110,7 @@ def is_copy(question: str | None, answer: str) -> bool:
 
 def is_refusal(answer: str) -> bool:
     text = c.canon(answer)
-    if len(text) > 600 or not _DECLINE.search(text):
+    if not _DECLINE.search(text):
         return False
     low, declined = 0, False
     for high in sentence_ends(text):

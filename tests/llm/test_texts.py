@@ -140,3 +140,8 @@ def test_encoding_is_that_of_the_public_library(spark):
     table = encoding.PerfectHash(list(ranks), list(ranks.values()))
     assert table.find(list(ranks)) == list(ranks.values()) and table.find([b"no such token"]) == [None]
     assert encoding.encode(df.limit(0)).count() == 0
+
+
+def test_a_long_refusal_is_one():
+    text = "죄송합니다. 그 내용은 대답할 수 없어요. " * 40
+    assert len(text) > 600 and pairs.is_refusal(text)
