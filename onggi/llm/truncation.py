@@ -293,5 +293,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, source, records, truncated, rate): how often each source truncates, each id once."""
-    ids = truncated(c.outputs_and_answers(spark, sf_dir)).groupBy("src", "source", "rec_id").agg(F.max("truncated").alias("t"))
+    tables = [c.table(spark, sf_dir, n).select(F.lit(n).alias("src"), F.col(k).cast("bigint").alias("rec_id"), "source") for n, k in (("predictions", "pred_id"), ("chats", "chat_id"))]
+    ids = tables[0].unionByName(tables[1]).dropDuplicates(["src", "rec_id"])  # records without a text count too
+    ids = ids.join(p5_found(spark, sf_dir).withColumn("t", F.lit(True)), ["src", "rec_id"], "left")
     return ids.groupBy("src", "source").agg(F.count("*").alias("records"), F.count_if("t").alias("truncated")).withColumn("rate", F.round(F.col("truncated") / F.col("records"), 6))

@@ -145,3 +145,12 @@ def test_encoding_is_that_of_the_public_library(spark):
 def test_a_long_refusal_is_one():
     text = "죄송합니다. 그 내용은 대답할 수 없어요. " * 40
     assert len(text) > 600 and pairs.is_refusal(text)
+
+
+def test_rates_count_records_without_a_text(spark, tmp_path):
+    rows = [(1, "값을 확인했습니다.", "a"), (1, "값을 확인했습니다.", "a"), (2, None, "a"), (3, "값을 확인하려면 먼저 관측소의 수온을 다시", "a"), (4, "", None)]
+    spark.createDataFrame(rows, "pred_id bigint, prediction string, source string").write.parquet(f"{tmp_path}/predictions.parquet")
+    chats = [(1, [], "a"), (2, None, "b")]
+    spark.createDataFrame(chats, "chat_id bigint, messages array<struct<role string, content string>>, source string").write.parquet(f"{tmp_path}/chats.parquet")
+    got = {(r.src, r.source): (r.records, r.truncated, r.rate) for r in truncation.p5_rates(spark, str(tmp_path)).collect()}
+    assert got == {("predictions", "a"): (3, 1, 0.333333), ("predictions", None): (1, 0, 0.0), ("chats", "a"): (1, 0, 0.0), ("chats", "b"): (1, 0, 0.0)}
