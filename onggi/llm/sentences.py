@@ -201,9 +201,14 @@ def _balances(s: str) -> list[tuple[int, ...]]:
     return out
 
 
+MOST = 1.0  # of a span's score: a connective or label before, a verb ending behind
+
+
 def _span_score(s: str, i: int, j: int, depth: list[tuple[int, ...]], first: bool) -> float:
     span = s[i:j].strip()
     letters = sum(ch.isalnum() for ch in span[:40])
+    if letters <= 3:
+        letters = sum(ch.isalnum() for ch in span)
     if not letters:
         return -6.0
     score = -5.0 * sum(a != b for a, b in zip(depth[i], depth[j]))
@@ -221,22 +226,25 @@ def _span_score(s: str, i: int, j: int, depth: list[tuple[int, ...]], first: boo
     return score
 
 
-def segment(line: str, longest: int = 40) -> list[int]:
-    """Ends of the sentences of one line (in one form). ``longest``: candidates that one sentence may run over."""
+def segment(line: str) -> list[int]:
+    """Ends of the sentences of one line (in one form). Looks back until no earlier begin can score higher: a span scores MOST at most."""
     found = candidates(line)
     if not found:
         return [len(line)]
     places = [0, *sorted(found), len(line)]
     depth = _balances(line)
-    best, back = [0.0], [0]
+    best, back, highest = [0.0], [0], [0.0]
     for j in range(1, len(places)):
         close = found.get(places[j], 0.0)
         top, at = float("-inf"), j - 1
-        for i in range(j - 1, max(-1, j - 1 - longest), -1):
+        for i in range(j - 1, -1, -1):
+            if highest[i] + MOST < top:
+                break
             x = best[i] + _span_score(line, places[i], places[j], depth, i == 0)
             if x > top:
                 top, at = x, i
         best.append(top + close)
+        highest.append(max(highest[-1], best[-1]))
         back.append(at)
     ends, j = [], len(places) - 1
     while j:

@@ -154,3 +154,10 @@ def test_rates_count_records_without_a_text(spark, tmp_path):
     spark.createDataFrame(chats, "chat_id bigint, messages array<struct<role string, content string>>, source string").write.parquet(f"{tmp_path}/chats.parquet")
     got = {(r.src, r.source): (r.records, r.truncated, r.rate) for r in truncation.p5_rates(spark, str(tmp_path)).collect()}
     assert got == {("predictions", "a"): (3, 1, 0.333333), ("predictions", None): (1, 0, 0.0), ("chats", "a"): (1, 0, 0.0), ("chats", "b"): (1, 0, 0.0)}
+
+
+def test_a_sentence_may_run_over_any_number_of_marks():
+    authors = "The report by " + ", ".join(f"{chr(65 + k % 26)}. Kim" for k in range(60)) + " was read in most years."
+    assert cut(authors + " It was good.") == [authors, "It was good."]
+    exclaimed = "He said “" + "no! " * 60 + "” and left."
+    assert cut(exclaimed + " It was good.") == [exclaimed, "It was good."]
