@@ -113,10 +113,15 @@ def first_answer(messages: str = "messages"):
     return F.expr(f"get(filter({messages}, m -> m.role = 'assistant'), 0).content")
 
 
-def paragraphs_and_answers(spark: SparkSession, sf_dir: str, exemplars: str, column: str) -> DataFrame:
-    """(src, rec_id, text) of one exemplar table and of the first answers of chats; each id once, null texts left out."""
-    a = once(table(spark, sf_dir, exemplars).select("exemplar_id", F.col(f"`{column}`").alias("text")), "exemplar_id")
-    b = once(table(spark, sf_dir, "chats").select("chat_id", first_answer().alias("text")), "chat_id")
+def paragraphs_and_answers(spark: SparkSession, sf_dir: str, exemplars: str, column: str, deliveries: bool = False) -> DataFrame:
+    """(src, rec_id, text) of one exemplar table and of the first answers of chats; null texts left out.
+
+    Each id once, or with ``deliveries`` as often as it came, so that texts needn't be shuffled where ids are made distinct later.
+    """
+    a = table(spark, sf_dir, exemplars).select("exemplar_id", F.col(f"`{column}`").alias("text"))
+    b = table(spark, sf_dir, "chats").select("chat_id", first_answer().alias("text"))
+    if not deliveries:
+        a, b = once(a, "exemplar_id"), once(b, "chat_id")
     return (
         a.select(F.lit(exemplars).alias("src"), F.col("exemplar_id").alias("rec_id"), "text")
         .unionByName(b.select(F.lit("chats").alias("src"), F.col("chat_id").alias("rec_id"), "text"))

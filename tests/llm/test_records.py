@@ -51,11 +51,21 @@ def test_near_copies_are_those_of_brute_force(spark, texts):
         sets.append({plain[k : k + 5] for k in range(len(plain) - 4)} if len(t) >= 120 else set())
     want = {("t", a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if sets[a] and sets[b] and forms[a] != forms[b] and len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 3}
     assert want
-    for block in (2048, 4):  # one tree each, and trees cut into blocks
-        assert {tuple(r) for r in near_duplicates.near_duplicates(frame(spark, texts), block=block).collect()} == want
+    for block, buckets in ((2048, 1 << 20), (4, 4096)):  # small trees, and trees cut into blocks; counts alone in their bucket, and many in one
+        assert {tuple(r) for r in near_duplicates.near_duplicates(frame(spark, texts), block=block, buckets=buckets).collect()} == want
     assert near_duplicates.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_equal_texts_are_one_leaf(spark):
+    text = sentence(random.Random(6), 40)
+    other = text[:100] + "거너더러머버서어저처커터퍼허" + text[100:]
+    rows = [("t", k, text, "x") for k in range(6000)] + [("t", 9000, other, "x"), ("t", 9001, text.replace(" ", ". "), "x")] * 2
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, EMPTY))
+    assert got.count() == got.distinct().count() == 6000 * 2 + 1  # 9000 with all others, 9001 (the same letters) with all others
+    got = lookalikes.lookalike_pairs(spark.createDataFrame(rows[:6000] + [("t", 9002, text.replace(" ", "\u00a0"), "x")], EMPTY))
+    assert got.count() == 6000
+
+
 def test_forest_loses_no_pair():
     import numpy as np
 
@@ -63,14 +73,34 @@ def test_forest_loses_no_pair():
     sets = [frozenset(rng.integers(0, 400, rng.integers(5, 60)).tolist()) for _ in range(200)]
     sets += [frozenset(list(s)[2:] + [999]) for s in sets[:50]]
     sets.sort(key=len)
-    bits = np.zeros((len(sets), near_duplicates.WORDS * 64), bool)
+    bits = np.zeros((len(sets), 2048), bool)
     for k, s in enumerate(sets):
         bits[k, list(s)] = True
     packed = np.packbits(bits, axis=1).view(np.uint64)
     size = np.array([len(s) for s in sets])
-    found = {(int(i), int(j)) for a, b in near_duplicates.Forest(np.zeros(len(sets), np.int64), size, packed).pairs(3, 5, chunk=100) for i, j in zip(a, b)}
+    forest = near_duplicates.Forest(np.zeros(len(sets), np.int64), size, packed)
+    found = {(int(i), int(j)) for a, b in forest.pairs(3, 5, chunk=100) for i, j in zip(a, b)}
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) * 5 >= 3 * len(sets[i] | sets[j])}
     assert want and want <= found and len(found) < len(sets) ** 2 / 4
+    assert len(forest.levels) > 3 and all(forest.seen[k, False] for k in range(3))  # pairs of nodes are pruned at every level
+
+
+def test_bitmaps_of_two_widths_meet():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 50, n)) for n in rng.integers(100, 500, 60)]
+    sets += [np.unique(np.r_[s[: int(len(s) * 0.9)], rng.integers(0, 1 << 50, int(len(s) * k))]) for s in sets[:40] for k in (0.05, 0.3)]
+    maps = []
+    for s in sets:
+        bits = np.zeros(near_duplicates.words_for(len(s)) * 64, bool)
+        bits[s % len(bits)] = True
+        maps.append(np.packbits(bits).tobytes())
+    n = np.array([len(s) for s in sets])
+    group, unit = np.arange(len(sets)) % 3 * 0, np.arange(len(sets))
+    a, b = near_duplicates.similar(group, unit, n, maps, 3, 5)
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(np.intersect1d(sets[i], sets[j])) * 5 >= 3 * len(np.union1d(sets[i], sets[j]))}
+    assert want and want <= set(zip(a.tolist(), b.tolist())) and len({len(m) for m in maps}) > 1 and len(a) < len(sets) ** 2 / 4
 
 
 def test_lookalikes_are_those_of_the_table(spark, texts):
