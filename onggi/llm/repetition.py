@@ -104,7 +104,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shares of repeated content by n-gram length and by line, for every output and answer."""
+    """(src, rec_id, n_letters, share_12, share_24, share_48, share_lines): shares of repeated content of every output and answer; 0 of a text without letters."""
     m = repetition(c.outputs_and_answers(spark, sf_dir)).distinct()  # deliveries of a record have the same measures
-    share = [F.round(F.col(f"rep_{n}") / F.col("n_letters"), 4).alias(f"share_{n}") for n in (12, 24, 48)]
-    return m.select("src", "rec_id", "n_letters", *share, F.round(F.col("rep_line_chars") / F.col("line_chars"), 4).alias("share_lines"))
+    part = lambda x, whole: F.when(F.col(whole) > 0, F.round(F.col(x) / F.col(whole), 4)).otherwise(0.0)
+    return m.select("src", "rec_id", "n_letters", *(part(f"rep_{n}", "n_letters").alias(f"share_{n}") for n in (12, 24, 48)), part("rep_line_chars", "line_chars").alias("share_lines"))
+
+
+def p6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, rec_id, rep_line_chars, line_chars): characters of lines that stood before in the same text, and of all lines."""
+    return repetition(c.outputs_and_answers(spark, sf_dir), ()).select("src", "rec_id", "rep_line_chars", "line_chars").distinct()

@@ -121,6 +121,33 @@ def test_trie_pays_for_edits():
     assert trie.match("cafe", budget=1) == "café"
 
 
+def test_half_an_edit_finds_lookalikes_that_the_table_lacks(spark):
+    trie = lookalikes.Trie()
+    trie.add("CAFE", 3)
+    assert trie.match("CᎪFE", 0.5) == "CAFE" and trie.match("CᎪFE") is None and trie.match("CXFE", 0.5) is None and trie.match("C가FE", 0.5) is None
+    assert lookalikes.own_script("Температура") == "Температура" and lookalikes.own_script("оrbit") == "orbit"
+
+
+@pytest.mark.parametrize("budget", [0.0, 0.5])
+def test_a_hot_branch_is_split(spark, budget):
+    usual = [f"http://site{k}.example/page" for k in range(60)] + ["orbit", "온도"]
+    odd = [f"http://sitе{k}.example/page" for k in range(0, 60, 7)] + ["оrbit", "температура", "​온도"]
+    df = spark.createDataFrame(rows([" ".join(usual), " ".join(odd), "", " "]), EMPTY)
+    got = [{r.word: (r.spelling, r.form, r.matched) for r in lookalikes.spellings(df, budget=budget, most=most).collect()} for most in (50_000, 8)]
+    assert got[0] == got[1] and len(got[0]) >= len(odd)
+    assert all(got[0][w] == (c.canon(w), c.canon(w), True) for w in odd if w != "температура")
+    assert got[0]["температура"] == ("температура", c.canon("температура"), False)
+    assert lookalikes.spellings(df.limit(0), budget=budget).count() == 0
+
+
+def test_shares_of_texts_without_letters_are_zero(spark, tmp_path):
+    texts = ["", "!!!", "\n", "줄\n줄", None]
+    spark.createDataFrame([(k, t, "a") for k, t in enumerate(texts)], "pred_id bigint, prediction string, source string").write.parquet(f"{tmp_path}/predictions.parquet")
+    spark.createDataFrame([(1, [("assistant", "?")], "a")], "chat_id bigint, messages array<struct<role: string, content: string>>, source string").write.parquet(f"{tmp_path}/chats.parquet")
+    got = {(r.src, r.rec_id): r for r in repetition.p6_measures(spark, str(tmp_path)).collect()}
+    assert len(got) == 5 and all(got["predictions", k].share_12 == 0 for k in range(4)) and got["predictions", 3].share_lines == 0.5 and got["predictions", 0].share_lines == 0
+
+
 def test_repetition_is_that_of_a_plain_loop(spark):
     rng = random.Random(5)
     texts = [sentence(rng, 40), "같은 말을 또 합니다. " * 9, "a" * 200, "", " ", "짧다", "x" * 30_000, sentence(rng, 20) + "\n" + "줄이 같다\n" * 6]
