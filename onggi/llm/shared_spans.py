@@ -1,14 +1,20 @@
 """Long exact spans shared between records, by prefix-partitioned suffix trees.
 
-Not every suffix is needed: of each piece of ``span`` characters the suffix of which the first half hashes lowest is
-taken (the same one in every record that holds the piece), about one suffix in fifty. Suffixes whose prefix of that
-length is found in one record only cannot branch and are dropped. The rest are split by variable-length prefixes: a
-quarter of the sampled length, longer where the group would exceed ``group`` suffixes, so that each group fits in memory.
-A group's subtree is evaluated from the top: every suffix around the sampled ones goes down by longer and longer
-prefixes, nodes below which lies one record only are cut off, and the internal nodes at depth ``span`` are the
-repeats; touching ones are joined to maximal stretches. A prefix that stays too frequent at its full length (a text
-block in a third of all records) is lengthened to the whole piece and counted by partial aggregation instead.
-Equal texts are one record with several owners from the start.
+Not every suffix is needed to find the groups: of each piece of ``span`` characters the suffix of which the first half
+hashes lowest is taken (the same one in every record that holds the piece), about one suffix in fifty. Suffixes whose
+prefix of that length is found in one record only cannot branch and are dropped. The rest are split by variable-length
+prefixes: a quarter of the sampled length, longer where the group would exceed ``group`` suffixes, so that each group fits
+in memory. Hashes only bring suffixes together; what is equal is decided by characters.
+
+A group's subtree is built over all suffixes around the sampled ones, as their suffix array by prefix doubling: ranks
+of short prefixes are joined to ranks of prefixes twice as long, which are the nodes of the tree at depths 5, 10, 20 ... up
+to ``span``. A node below which lies one record only is cut off with all its suffixes. The internal nodes at depth
+``span`` are the repeats; touching ones are joined to maximal stretches. Equal surroundings of several records are one
+leaf, and equal texts are one record with several owners from the start.
+
+A prefix that stays too frequent at its full length (a text block in a third of all records) is no group of one task: its
+distinct surroundings are counted by aggregation, a surrounding of two records is shared as a whole, and of the distinct ones
+the pieces are compared by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -93,17 +99,53 @@ def _contexts(span: int):
     return run
 
 
-def _windows(around: list[str], lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of all suffixes of at least the last length: the owner, the offset, and the hash of the prefix of each length."""
-    sizes = np.array([len(x) for x in around])
-    full = lengths[-1]
-    points = _points("".join(around))
-    starts = np.cumsum(sizes) - sizes
-    many = np.maximum(sizes - full + 1, 0)
-    owner = np.repeat(np.arange(len(around)), many)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    at = starts[owner] + offset
-    return owner, offset, [rolling(points, n)[at] for n in lengths] if len(at) else [np.empty(0, np.uint64)] * len(lengths)
+def _leaves(around: list[str], unit: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct surroundings, the place of each row among them, and the lowest and highest record of each."""
+    known: dict[str, int] = {}
+    leaf = np.array([known.setdefault(x, len(known)) for x in around])
+    low, high = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
+    np.minimum.at(low, leaf, unit)
+    np.maximum.at(high, leaf, unit)
+    return list(known), leaf, low, high
+
+
+def repeats(texts: list[str], low: np.ndarray, high: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, offset) of each suffix whose first ``depth`` characters are also those of a suffix of another record.
+
+    low, high: the lowest and highest record that holds each text. By prefix doubling over the characters themselves.
+    """
+    sizes = np.array([len(x) for x in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))  # characters from here to the end of the text
+    letters, rank = np.unique(_points("".join(texts)), return_inverse=True)
+    bits = max(1, int(len(letters)).bit_length())
+    length, at = 1, np.flatnonzero(left >= 1)
+    base, wide = rank.astype(np.int64), min(depth, 62 // bits, 8)
+    while length < wide:  # the first characters fit into one number
+        at = at[left[at] > length]
+        rank[at] = rank[at] << bits | base[at + length]
+        length += 1
+    at = np.flatnonzero(left >= length)
+    key, where = rank[at], np.full(len(owner), -1)
+    while True:
+        order = np.argsort(key, kind="stable")
+        new = np.r_[True, key[order][1:] != key[order][:-1]] if len(order) else np.empty(0, bool)
+        start = np.flatnonzero(new)
+        if not len(start):
+            return at, at
+        inner = np.minimum.reduceat(low[owner[at[order]]], start) != np.maximum.reduceat(high[owner[at[order]]], start)
+        node = np.cumsum(new) - 1
+        keep = inner[node]
+        at, node = at[order[keep]], node[keep]
+        if length == depth:
+            return owner[at], at - (np.cumsum(sizes) - sizes)[owner[at]]
+        where[:] = -1
+        where[at] = node
+        step = min(length, depth - length)
+        at = at[left[at] >= length + step]
+        at = at[where[at + step] >= 0]
+        key = where[at] * (len(start) + 1) + where[at + step]
+        length += step
 
 
 def _subtrees(span: int, chunk: int = 3000):
@@ -125,22 +167,14 @@ def _subtrees(span: int, chunk: int = 3000):
 
     def _evaluate(t: pa.Table) -> Iterator[pa.RecordBatch]:
         unit, low = t.column("unit").to_numpy(), t.column("low").to_numpy().astype(np.int64)
-        owner, offset, hashes = _windows(t.column("around").to_pylist(), (span // 4, span // 2, span))
-        node = np.zeros(len(owner), np.int64)
-        for level in range(len(hashes)):  # down the tree; only nodes with suffixes of two records stay
-            if not len(owner):
-                return
-            h = hashes[level]
-            order = np.lexsort((h, node))
-            new = np.r_[True, (node[order][1:] != node[order][:-1]) | (h[order][1:] != h[order][:-1])]
-            start = np.flatnonzero(new)
-            mine = unit[owner[order]]
-            inner = np.minimum.reduceat(mine, start) != np.maximum.reduceat(mine, start)
-            child = np.empty(len(order), np.int64)
-            child[order] = np.cumsum(new) - 1
-            keep = inner[child]
-            owner, offset, node, hashes = owner[keep], offset[keep], child[keep], [x[keep] for x in hashes]
-        yield from _stretches(unit[owner], low[owner] + offset, span)
+        texts, leaf, first, last = _leaves(t.column("around").to_pylist(), unit)
+        text, offset = repeats(texts, first, last, span)
+        # back to the rows of each leaf
+        order = np.argsort(leaf, kind="stable")
+        begin, many = np.searchsorted(leaf[order], np.arange(len(texts))), np.bincount(leaf, minlength=len(texts))
+        row = np.repeat(begin[text] - np.cumsum(many[text]) + many[text], many[text]) + np.arange(int(many[text].sum()))
+        row, offset = order[row], np.repeat(offset, many[text])
+        yield from _stretches(unit[row], low[row] + offset, span)
 
     return run
 
@@ -156,13 +190,21 @@ def _stretches(unit: np.ndarray, start: np.ndarray, span: int) -> Iterator[pa.Re
     yield pa.RecordBatch.from_arrays([pa.array(unit[new]), pa.array(start[new].astype(np.int64)), pa.array(start[last].astype(np.int64) + span)], ["unit", "low", "high"])
 
 
-def _whole_pieces(span: int):
+def _pieces(span: int):
+    """(leaf, around) -> (leaf, x, y, offset): 128-bit hashes of all pieces of ``span`` characters."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, low = batch.column("unit").to_numpy(), batch.column("low").to_numpy().astype(np.int64)
             for k in range(0, batch.num_rows, 500):
-                owner, offset, (h,) = _windows(batch.column("around").slice(k, 500).to_pylist(), (span,))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(unit[k:][owner]), pa.array(low[k:][owner] + offset)], ["h", "unit", "low"])
+                leaf, around = batch.column("leaf").slice(k, 500), batch.column("around").slice(k, 500).to_pylist()
+                sizes = np.array([len(x) for x in around])
+                points = _points("".join(around))
+                many = np.maximum(sizes - span + 1, 0)
+                owner = np.repeat(np.arange(len(around)), many)
+                offset = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+                at = (np.cumsum(sizes) - sizes)[owner] + offset
+                x, y = (rolling(p, span)[at].view(np.int64) if len(at) else at for p in (points, points * np.uint64(0xD1342543DE82EF95) + np.uint64(11)))
+                yield pa.RecordBatch.from_arrays([leaf.take(pa.array(owner)), pa.array(x), pa.array(y), pa.array(offset.astype(np.int32))], ["leaf", "x", "y", "offset"])
 
     return run
 
@@ -194,9 +236,17 @@ def shared_spans(df: DataFrame, *, span: int = 200, group: int = 4096) -> DataFr
 
     trees = contexts(parted).repartition(c.width(spark), "part").sortWithinPartitions("part")
     found = trees.mapInArrow(_subtrees(span), "unit bigint, low bigint, high bigint")
-    hot = contexts(live.where(F.col("m") > group).select("unit", "pos", F.col("h3").alias("part"))).mapInArrow(_whole_pieces(span), "h bigint, unit bigint, low bigint").distinct()
-    several = hot.groupBy("h").agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a <> b").select("h")
-    found = found.unionByName(hot.join(several, "h").select("unit", "low", (F.col("low") + span).alias("high")))
+    # a prefix that is too frequent: a surrounding of several records is shared as a whole, the others by pieces
+    hot = c.cut(contexts(live.where(F.col("m") > group).select("unit", "pos", F.col("h3").alias("part"))).withColumn("leaf", F.unhex(F.md5("around"))))
+    leaves = hot.groupBy("leaf").agg(F.min("unit").alias("a"), F.max("unit").alias("b"), F.first("around").alias("around"))
+    pieces = c.cut(leaves.select("leaf", "around").mapInArrow(_pieces(span), "leaf binary, x bigint, y bigint, offset int").join(leaves.select("leaf", "a", "b"), "leaf"))
+    several = pieces.groupBy("x", "y").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("x", "y")
+    common = pieces.join(several, ["x", "y"]).select("leaf", "offset").distinct()
+    # a run of touching offsets is one stretch of its leaf; the rows of the leaf come last
+    by_leaf = Window.partitionBy("leaf").orderBy("offset")
+    runs = common.withColumn("new", (F.col("offset") > F.coalesce(F.lag("offset").over(by_leaf), F.lit(-2 * span)) + span).cast("int")).withColumn("run", F.sum("new").over(by_leaf))
+    runs = runs.groupBy("leaf", "run").agg(F.min("offset").alias("from"), F.max("offset").alias("to"))
+    found = found.unionByName(hot.join(runs, "leaf").select("unit", (F.col("low") + F.col("from")).cast("bigint").alias("low"), (F.col("low") + F.col("to") + span).cast("bigint").alias("high")))
     # stretches that touch or overlap become one
     by = Window.partitionBy("unit").orderBy("low", "high")
     marked = found.withColumn("reach", F.max("high").over(by.rowsBetween(Window.unboundedPreceding, -1))).withColumn("new", F.when(F.col("low") <= F.col("reach"), 0).otherwise(1))
