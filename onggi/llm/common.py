@@ -89,7 +89,12 @@ _NOT_LETTERS = re.compile(r"[\W_]+")
 
 def letters(text: str) -> str:
     """Letters and digits only, in lower case, of the text in its one form."""
-    return _NOT_LETTERS.sub("", canon(text).lower())
+    return letters_of(canon(text))
+
+
+def letters_of(form: str) -> str:
+    """The same of a text that is in its one form."""
+    return _NOT_LETTERS.sub("", form.lower())
 
 
 #: The same test in Java syntax, a little wider: text that may need ``canon``.

@@ -18,7 +18,6 @@ are expanded last. No candidate is dropped anywhere.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,8 +41,11 @@ def pieces(texts: list[str], seeds: list[int]) -> list[np.ndarray]:
     h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
     out, at = [], 0
     for text, seed in zip(texts, seeds):
-        own = h[at : at + max(0, len(text) - PIECE + 1)]
-        out.append(np.unique((own ^ np.uint64(seed)) >> np.uint64(8)))
+        own = (h[at : at + max(0, len(text) - PIECE + 1)] ^ np.uint64(seed)) >> np.uint64(8)
+        own.sort()
+        new = np.ones(len(own), bool)
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        out.append(own[new])
         at += len(text)
     return out
 
@@ -178,7 +180,7 @@ def _records(buckets: int):
         for batch in batches:
             src, rec = batch.column("src").to_pylist(), batch.column("rec_id")
             forms = [c.canon(t) for t in batch.column("text").to_pylist()]
-            plain = [c.letters(f) for f in forms]
+            plain = [c.letters_of(f) for f in forms]
             form = [hashlib.blake2b(f.encode(errors="surrogatepass"), digest_size=16).digest() for f in forms]
             full = [hashlib.blake2b(f"{s}\0{p}".encode(errors="surrogatepass"), digest_size=16).digest() for s, p in zip(src, plain)]
             unit = np.frombuffer(b"".join(full), np.int64)[::2]  # a short name for the trees; the full digest is the unit
@@ -190,19 +192,35 @@ def _records(buckets: int):
             yield pa.RecordBatch.from_arrays([pa.array(src, kinds[0]), rec, pa.array(form, kinds[2]), pa.array(full, kinds[3]), pa.array(unit), pa.array(plain, kinds[5]), none.cast(kinds[6]), none.cast(kinds[7])], names)
         parts = counts.reshape(-1, PART)
         at = np.flatnonzero(parts.any(1))
-        packed = [zlib.compress(x.tobytes(), 1) for x in parts[at]]
+        packed = [_packed(x) for x in parts[at]]
         none = pa.nulls(len(at))
         yield pa.RecordBatch.from_arrays([*(none.cast(k) for k in kinds[:6]), pa.array(at.astype(np.int32)), pa.array(packed, kinds[7])], names)
 
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """A part of the counts: which are not 0, each as a byte, and the large ones behind."""
+    some = counts > 0
+    x = counts[some]
+    return np.packbits(some).tobytes() + np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].astype(np.int32).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    some = np.unpackbits(np.frombuffer(data, np.uint8, PART // 8)).astype(bool)
+    x = np.frombuffer(data, np.uint8, n := int(some.sum()), PART // 8).astype(np.int64)
+    x[x == 255] = np.frombuffer(data[PART // 8 + n :], np.int32)
+    out = np.zeros(PART, np.int64)
+    out[some] = x
+    return out
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts of counts added up; a count comes out as a byte on a logarithmic scale, 16 for one."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-            x = np.frombuffer(zlib.decompress(counts), np.int32).astype(np.int64)
+            x = _unpacked(counts)
             total[part] = total[part] + x if part in total else x
     scaled = [np.minimum(16 * np.log2(1.0 + x), 255).astype(np.uint8).tobytes() for x in total.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(scaled, pa.binary())], ["part", "counts"])
