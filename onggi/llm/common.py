@@ -105,7 +105,10 @@ UNUSUAL_JAVA = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table by name; one with fewer splits than there are cores is spread over the cores, a larger one is read as it lies."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def once(df: DataFrame, key: str) -> DataFrame:

@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_ids": encoding.p7_ids,
         "p8_found": leakage.p8_found,
         "p8_paraphrased": leakage.p8_paraphrased,
+        "p8_reworded": leakage.p8_reworded,
         "p9_found": shared_spans.p9_found,
         "p9_share": shared_spans.p9_share,
     }

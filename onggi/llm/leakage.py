@@ -1,17 +1,21 @@
 """Evaluation texts leaking into training text, by latent semantic retrieval.
 
 1. Weights: in how many documents each hashed 5-letter piece stands, over the whole corpus.
-2. Latent space: a distributed randomised SVD. Every passage of every document (and of the items) is a TF-IDF row; each
-   task adds its rows, with random signs, to a small sketch (a sparse sign embedding of the row space), sketches are summed
-   by Spark, and the right singular vectors of the sum span the latent space. A sketch's size doesn't depend on the corpus.
-3. Search: overlapping windows of a document are projected and compared by cosine with windows of the items. The
-   threshold is not guessed: windows of the items at every offset go through the same search, and the lowest cosine at
-   which one of them finds its own item is the threshold. A verbatim run of ``run`` letters always holds one whole
-   window, and its vector is that of the item's window, so no such run is lost.
-4. Check of each candidate (document, item): the longest verbatim run, the longest common subsequence around the
-   windows that hit (bit-parallel), and whether the item's numbers, its checkable answers, stand there too.
-
-Paraphrases don't go through the search: every document and item is judged by the longest common subsequence itself.
+2. Latent space: a distributed randomised SVD. The passages of at most ``sample`` documents, the lowest by a hash of
+   their ids, and of the items are TF-IDF rows; each task adds its rows, with random signs, to a small sketch (a sparse
+   sign embedding of the row space), sketches are summed by Spark, and the right singular vectors of the sum span the
+   latent space. Only the axes come from the sample: weights, windows and search cover everything.
+3. Index: the items' windows lie in cells around centroids, each with its radius. A window of a document asks the cells that can
+   hold a vector within the wanted angle by the triangle inequality, so cells lose nothing.
+4. Search: overlapping windows of every document, one scan for all items of a block, are compared by cosine with the
+   windows in the cells they ask. For verbatim passages the index holds the items' windows at every offset: a run of ``run`` letters
+   always holds a whole window, whose vector is that of the item's window, so the cosine is 1 but for rounding and no such run is
+   lost. For paraphrases the cosine is measured: edited copies of the items must be found.
+5. Check of each candidate (document, item): the longest verbatim run; for paraphrases the longest common subsequence of
+   words (syllables in Hangul and Han) around the window that fits best, bit-parallel, and the item's checkable answers:
+   its numbers, or where it has none its longest words.
+
+``paraphrases`` is the plain form without the search: every pair judged by the longest common subsequence of letters.
 
 The items are the stated query set: they are collected, in blocks, and compared with all documents.
 """
@@ -19,7 +23,9 @@ The items are the stated query set: they are collected, in blocks, and compared
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,21 +35,36 @@ from pyspark.sql import functions as F
 from . import common as c
 from .repetition import rolling
 
-PIECE, FEATURES, SKETCH, RANK = 5, 1 << 14, 128, 64
-WINDOW, STEP, STRIDE = 45, 15, 5  # letters of a window; between windows of a document; between windows of an item
+FEATURES, SKETCH = 1 << 14, 128
+WINDOW, STEP = 45, 15  # letters of a window; between windows of a document
 
 
-def _features(text: str) -> np.ndarray:
-    """Hashed 5-letter pieces of a text of letters, one for each position."""
+@dataclass(frozen=True)
+class Shape:
+    """Letters of a piece and of a window, and between windows of a document and of an item."""
+
+    piece: int
+    window: int
+    step: int
+    stride: int
+    rank: int
+
+
+VERBATIM, REWORDED = Shape(5, WINDOW, STEP, 1, 32), Shape(3, 60, 15, 5, 64)
+SAME = 1 - 1e-5  # the cosine of windows with the same letters, but for rounding
+
+
+def _features(text: str, shape: Shape) -> np.ndarray:
+    """Hashed pieces of a text of letters, one for each position."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    return (rolling(points, PIECE) >> np.uint64(40)).astype(np.int64) % FEATURES
+    return (rolling(points, shape.piece) >> np.uint64(40)).astype(np.int64) % FEATURES
 
 
-def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _joined(texts: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of many texts at once, one after the other: (features, where each text begins, how many it has)."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    many = np.maximum(sizes - PIECE + 1, 0)
-    every = _features("".join(texts))
+    many = np.maximum(sizes - shape.piece + 1, 0)
+    every = _features("".join(texts), shape)
     owner = np.repeat(np.arange(len(texts)), many)
     starts = np.cumsum(many) - many
     return every[(np.cumsum(sizes) - sizes)[owner] + np.arange(len(owner)) - starts[owner]], starts, many
@@ -53,19 +74,24 @@ def _plain(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [c.letters(t) if t else "" for t in batch.column(column).to_pylist()]
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequencies(batches: Iterator[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
     total = np.zeros(FEATURES + 1, np.int64)
     for batch in batches:
-        for text in _plain(batch):
-            total[np.unique(_features(text))] += 1
-            total[FEATURES] += 1
+        texts = _plain(batch)
+        for k in range(0, len(texts), 1000):
+            f, _, many = _joined(texts[k : k + 1000], shape)
+            key = np.sort(np.repeat(np.arange(len(many)), many) * FEATURES + f)
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            total[:FEATURES] += np.bincount(key[first] % FEATURES, minlength=FEATURES)
+        total[FEATURES] += len(texts)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["feature", "n"])
 
 
-def _add_sketch(sketch: np.ndarray, texts: list[str], ids: list[int], idf: np.ndarray) -> None:
+def _add_sketch(sketch: np.ndarray, texts: list[str], ids: list[int], idf: np.ndarray, shape: Shape) -> None:
     """Adds the TF-IDF rows of passages of 60 pieces (the last of a text is shorter) to the sketch: each to four of its rows with random signs."""
-    f, starts, many = _joined(texts)
+    f, starts, many = _joined(texts, shape)
     if not len(f):
         return
     owner = np.repeat(np.arange(len(texts)), many)
@@ -83,13 +109,13 @@ def _add_sketch(sketch: np.ndarray, texts: list[str], ids: list[int], idf: np.nd
         np.add.at(sketch.reshape(-1), row[passage] * FEATURES + f, weight * sign[passage])
 
 
-def _sketches(idf: np.ndarray):
+def _sketches(idf: np.ndarray, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros((SKETCH, FEATURES))
         for batch in batches:
             ids, texts = [(x or 0) & 0x7FFFFFFFFFFF for x in batch.column("doc_id").to_pylist()], _plain(batch)
             for k in range(0, len(texts), 200):
-                _add_sketch(sketch, texts[k : k + 200], ids[k : k + 200], idf)
+                _add_sketch(sketch, texts[k : k + 200], ids[k : k + 200], idf, shape)
         rows = np.flatnonzero(sketch.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array([x.astype(np.float32).tobytes() for x in sketch[rows]], pa.binary())], ["row", "values"])
 
@@ -109,9 +135,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
 
 
-def _vectors(f: np.ndarray, starts: np.ndarray, space: np.ndarray) -> np.ndarray:
+def _vectors(f: np.ndarray, starts: np.ndarray, space: np.ndarray, shape: Shape) -> np.ndarray:
     """Unit vectors of the windows that begin at these places: sums by running totals, in blocks that keep them small."""
-    wide = WINDOW - PIECE + 1
+    wide = shape.window - shape.piece + 1
     out = np.empty((len(starts), space.shape[1]), np.float32)
     for k in range(0, len(starts), 256):
         s = starts[k : k + 256]
@@ -122,10 +148,10 @@ def _vectors(f: np.ndarray, starts: np.ndarray, space: np.ndarray) -> np.ndarray
     return out
 
 
-def windows(text: str, space: np.ndarray, step: int) -> np.ndarray:
+def windows(text: str, space: np.ndarray, step: int, shape: Shape) -> np.ndarray:
     """Unit vectors in the latent space of the windows of a text of letters, one every ``step`` letters."""
-    f = _features(text)
-    return _vectors(f, np.arange(0, max(len(f) - (WINDOW - PIECE), 0), step), space)
+    f = _features(text, shape)
+    return _vectors(f, np.arange(0, max(len(f) - (shape.window - shape.piece), 0), step), space, shape)
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -159,108 +185,208 @@ def longest_run(item: str, text: str, least: int) -> int:
 
 
 _NUMBERS = re.compile(r"\d{2,}")
+_WORDS = re.compile(r"[A-Za-z\u00c0-\u024f]+|\d+|[^\W_]")
 
 
-def _search(items: list[tuple[int, str]], space: np.ndarray, near: float, run_length: int):
-    own = [windows(t, space, STRIDE) for _, t in items]
-    queries = np.concatenate(own) if own else np.empty((0, space.shape[1]), np.float32)
-    owner = np.repeat(np.arange(len(items)), [len(x) for x in own])
-    numbers = [set(_NUMBERS.findall(t)) for _, t in items]
+def spoken(text: str) -> tuple[list[str], list[int]]:
+    """Words of a text in lower case, a syllable or sign of other scripts for itself, and where the letters of each begin."""
+    words = [w.lower() for w in _WORDS.findall(c.canon(text))]
+    return words, np.cumsum([0, *map(len, words)]).tolist()
+
+
+def answers(text: str) -> set[str]:
+    """What can be checked of an item: its numbers, or where it has none its three longest words."""
+    form = c.canon(text)
+    if numbers := set(_NUMBERS.findall(form)):
+        return numbers
+    words = sorted({c.letters_of(w) for w in form.split()}, key=lambda w: (-len(w), w))
+    return {w for w in words[:3] if w}
+
+
+def words_in_order(item: list[str], words: list[str]) -> float:
+    """The longest common subsequence of two lists of words, as the share of the item's letters."""
+    at: dict[str, int] = {}
+    for k, w in enumerate(item):
+        at[w] = at.get(w, 0) | 1 << k
+    full = row = (1 << len(item)) - 1
+    for w in words:
+        if m := at.get(w):
+            x = row & m
+            row = (row + x | row - x) & full
+    return sum(len(w) for k, w in enumerate(item) if not row >> k & 1) / max(1, sum(map(len, item)))
+
+
+class Index:
+    """Windows of items in cells around centroids; a cell is asked only if it can hold a vector at the wanted cosine."""
+
+    def __init__(self, items: list[tuple[int, str]], space: np.ndarray, shape: Shape, near: float):
+        own = [windows(c.letters(t), space, shape.stride, shape) for _, t in items]
+        vectors = np.concatenate(own) if own else np.empty((0, space.shape[1]), np.float32)
+        owner = np.repeat(np.arange(len(items)), [len(x) for x in own])
+        self.items, self.near, self.shape = items, near, shape
+        k = max(1, int(len(vectors) ** 0.5))
+        centre = vectors[np.linspace(0, len(vectors) - 1, k).astype(np.int64)] if len(vectors) else vectors
+        for _ in range(4):
+            cell = self._nearest(vectors, centre)
+            sums = np.zeros((len(centre), space.shape[1]))
+            np.add.at(sums, cell, vectors)
+            centre = np.where(np.bincount(cell, minlength=len(centre))[:, None] > 0, _unit(sums), centre).astype(np.float32)
+        cell = self._nearest(vectors, centre)
+        order = np.argsort(cell, kind="stable")
+        self.vectors, self.owner, self.centre = vectors[order], owner[order], centre
+        self.edges = np.searchsorted(cell[order], np.arange(len(centre) + 1))
+        radius = np.zeros(len(centre))
+        np.maximum.at(radius, cell, np.arccos(np.clip((vectors * centre[cell]).sum(1), -1, 1)) if len(vectors) else np.empty(0))
+        self.reach = np.arccos(near) + 1e-3
+        self.least = np.cos(np.minimum(np.pi, radius + self.reach)).astype(np.float32)
+
+    @staticmethod
+    def _nearest(vectors: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        return np.concatenate([(vectors[k : k + 4096] @ centre.T).argmax(1) for k in range(0, len(vectors), 4096)]) if len(vectors) else np.empty(0, np.int64)
+
+    def search(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of asked, item, cosine) of all pairs of windows at the cosine ``near`` or above."""
+        if not len(self.vectors) or not len(asked):
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        rows, items, values = [], [], []
+        for low in range(0, len(asked), 8192):
+            part = asked[low : low + 8192]
+            to = part @ self.centre.T
+            # the cell of a vector is its nearest: none further than the nearest one by twice the angle can hold it
+            bound = np.cos(np.minimum(np.pi, np.arccos(np.clip(to.max(1), -1, 1)) + 2 * self.reach))
+            cell, row = np.nonzero(((to >= self.least) & (to >= bound[:, None])).T)
+            edges = np.searchsorted(cell, np.arange(len(self.centre) + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                own = row[edges[k] : edges[k + 1]]
+                at = slice(self.edges[k], self.edges[k + 1])
+                cosine = part[own] @ self.vectors[at].T
+                i, j = np.nonzero(cosine >= self.near)
+                rows.append(own[i] + low)
+                items.append(self.owner[at][j])
+                values.append(cosine[i, j])
+        return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, items, values))
+
+
+_KIND = "doc_id bigint, item_id bigint, run int, cosine double, lcs double, answers boolean"
+
+
+def _search(index: Index, space: np.ndarray, run_length: int, similar: bool):
+    plain = [c.letters(t) for _, t in index.items]
+    said = [spoken(t)[0] for _, t in index.items]
+    keys = [answers(t) for _, t in index.items]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), _plain(batch)
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             rows: list[tuple] = []
-            for low in range(0, len(texts), 50):
-                rows += _hits(docs[low : low + 50], texts[low : low + 50])
+            for low in range(0, len(texts), 400):
+                rows += _hits(docs[low : low + 400], texts[low : low + 400])
             cols = list(zip(*rows)) if rows else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "item_id", "run", "cosine", "lcs", "numbers"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "item_id", "run", "cosine", "lcs", "answers"])
 
-    def _hits(docs: list, texts: list[str]) -> list[tuple]:
-        f, starts, many = _joined(texts)
-        count = np.maximum(many - (WINDOW - PIECE) + STEP - 1, 0) // STEP
+    def _hits(docs: list, stored: list[str]) -> list[tuple]:
+        texts, shape = [c.letters(t) for t in stored], index.shape
+        f, starts, many = _joined(texts, shape)
+        count = np.maximum(many - (shape.window - shape.piece) + shape.step - 1, 0) // shape.step
         which = np.repeat(np.arange(len(texts)), count)
-        if not len(queries) or not len(which):
+        if not len(which):
             return []
         place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        vectors = _vectors(f, starts[which] + place * STEP, space)
-        out, seen = [], {}
-        for low in range(0, len(vectors), 256):  # a block of cosines stays in the cache
-            cosines = vectors[low : low + 256] @ queries.T
-            at = np.flatnonzero(cosines >= near)
-            w, q = np.divmod(at, len(queries))
-            for i, k, value in zip((w + low).tolist(), owner[q].tolist(), cosines.reshape(-1)[at].tolist()):
-                key = (int(which[i]), k)
-                first, last, top = seen.get(key, (place[i], place[i], 0.0))
-                seen[key] = (min(first, place[i]), max(last, place[i]), max(top, value))
-        for (n, k), (low, high, top) in seen.items():
-            item, text = items[k][1], texts[n]
-            around = text[max(0, low * STEP - len(item)) : high * STEP + WINDOW + len(item)]
-            out.append((docs[n], items[k][0], longest_run(item, text, run_length), round(top, 6), round(common_subsequence(item, around) / len(item), 6), numbers[k] <= set(_NUMBERS.findall(around))))
+        w, item, cosine = index.search(_vectors(f, starts[which] + place * shape.step, space, shape))
+        key = which[w] * len(index.items) + item
+        order = np.lexsort((-cosine, key))
+        edges = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1], True]) if len(key) else np.zeros(1, np.int64)
+        out: list[tuple] = []
+        known: dict[int, tuple] = {}
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):  # the windows that fit of each document and item, the best one first
+            k = order[first]
+            n, i = int(which[w[k]]), int(item[k])
+            whole = longest_run(plain[i], texts[n], run_length)
+            share, met = 0.0, False
+            if similar and not whole and all(x in texts[n] for x in keys[i]):
+                for at in sorted({int(place[w[x]]) for x in order[first:last]}):
+                    low, high = max(0, at * shape.step - len(plain[i])), at * shape.step + shape.window + len(plain[i])
+                    if all(x in texts[n][low:high] for x in keys[i]):
+                        if n not in known:
+                            known[n] = spoken(stored[n])
+                        words, begin = known[n]
+                        met, share = True, max(share, words_in_order(said[i], words[bisect_left(begin, low) : bisect_left(begin, high)]))
+            out.append((docs[n], index.items[i][0], whole, round(float(cosine[k]), 6), round(share, 6), met))
         return out
 
     return run
 
 
-def latent_space(docs: DataFrame, items: list[tuple[int, str]]) -> np.ndarray:
-    """FEATURES x RANK: weights times right singular vectors, from all documents and the items."""
+def latent_space(docs: DataFrame, items: list[tuple[int, str]], sample: int, shape: Shape) -> np.ndarray:
+    """FEATURES x rank: weights, from all documents, times right singular vectors, from the sample and the items."""
     spark = docs.sparkSession
-    counted = docs.mapInArrow(_frequencies, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(lambda batches: _frequencies(batches, shape), "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
     df = np.zeros(FEATURES + 1)
     for feature, n in counted.collect():  # at most FEATURES + 1 rows
         df[feature] = n
     idf = np.log((df[FEATURES] + 2) / (df[:FEATURES] + 1))
-    parts = docs.mapInArrow(_sketches(idf), "row int, `values` binary")
-    tasks = max(1, min(16, c.width(spark)))
-    summed = parts.repartition(tasks, "row").mapInArrow(_sum_rows, "row int, `values` binary")
+    share = min(1.0, sample / max(1.0, df[FEATURES]))
+    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    parts = few.mapInArrow(_sketches(idf, shape), "row int, `values` binary")
+    summed = parts.repartition(c.width(spark), "row").mapInArrow(_sum_rows, "row int, `values` binary")
     sketch = np.zeros((SKETCH, FEATURES))
     for row, values in summed.collect():  # at most SKETCH rows of fixed size
         sketch[row] += np.frombuffer(values, np.float32)
-    _add_sketch(sketch, [t for _, t in items], [n & 0x7FFFFFFFFFFF for n, _ in items], idf)
+    _add_sketch(sketch, [c.letters(t) for _, t in items], [n & 0x7FFFFFFFFFFF for n, _ in items], idf, shape)
     # right singular vectors from the small Gram matrix
     values, left = np.linalg.eigh(sketch @ sketch.T)
-    top = np.argsort(-values)[:RANK]
+    top = np.argsort(-values)[: shape.rank]
     right = sketch.T @ left[:, top] / np.sqrt(np.maximum(values[top], 1e-12))
     return (idf[:, None] * right).astype(np.float32)
 
 
-def threshold(items: list[tuple[int, str]], space: np.ndarray) -> float:
-    """The lowest cosine at which a window of an item, at any offset, finds its own item."""
-    low = 1.0
-    for _, text in items:
-        if len(every := windows(text, space, 1)):
-            low = min(low, float((every @ windows(text, space, STRIDE).T).max(1).min()))
-    return low - 1e-4
-
-
-def leaks(docs: DataFrame, items: DataFrame, *, run: int = 60, near: float | None = None, block: int = 500) -> DataFrame:
-    """(doc_id, item_id, run, cosine, lcs, numbers): candidates of the latent search among (doc_id, text) x (item_id, text), checked.
-
-    run: letters of the longest verbatim run, 0 under ``run``; lcs: longest common subsequence as a share of the item's
-    letters; numbers: the item's numbers all stand around the hit. ``near`` below the measured threshold widens the
-    search for paraphrases. Null, empty and short texts give no rows; repeated documents give a row each; an empty table gives
-    an empty result; other columns are ignored. The items are the query set and are collected in blocks.
+def threshold(items: list[tuple[int, str]], space: np.ndarray, share: float, shape: Shape = REWORDED, lost: float = 0.02) -> float:
+    """The cosine at which all but ``lost`` of edited copies of the items, every k-th word replaced, find their own item."""
+    rng = np.random.default_rng(11)
+    said = [c.canon(t).split() for _, t in items]
+    best = []
+    for k, words in enumerate(said):
+        own = windows(c.letters(items[k][1]), space, shape.stride, shape)
+        for every in (3, 4, 5, 7):
+            other = said[int(rng.integers(len(said)))] or ["가"]
+            copy = " ".join(other[int(rng.integers(len(other)))] if n % every == every - 1 else w for n, w in enumerate(words))
+            if words_in_order(spoken(items[k][1])[0], spoken(copy)[0]) >= share and len(own):
+                around = other + copy.split() + other  # the copy stands within other text
+                w = windows(c.letters(" ".join(around))[int(rng.integers(shape.step)) :], space, shape.step, shape)
+                best.append(float((w @ own.T).max()))
+    return float(np.quantile(best, lost)) - 1e-4 if best else SAME
+
+
+def leaks(docs: DataFrame, items: DataFrame, *, run: int = 60, share: float | None = None, near: float | None = None, sample: int = 20_000, block: int = 5000) -> DataFrame:
+    """(doc_id, item_id, run, cosine, lcs, answers): candidates of the latent search among (doc_id, text) x (item_id, text), checked.
+
+    run: letters of the longest verbatim run, 0 under ``run``. Without ``share`` only verbatim passages are searched. With it the search
+    is as wide as edited copies of the items that keep this share of their words need it (or as ``near`` says), and for candidates
+    without a verbatim run answers says whether all checkable answers stand around a window that fits, and lcs, where they
+    do, is the share of the item's letters in words that stand there in the same order, else 0. Null, empty and short texts give no rows; repeated documents give a
+    row each; an empty table gives an empty result; other columns are ignored. The items are the query set and are collected in blocks,
+    each of which is one scan.
     """
-    assert run >= WINDOW + STEP, "a run must hold a whole window"
+    assert run >= VERBATIM.window + VERBATIM.step, "a run must hold a whole window"
     long = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    asked = sorted((n, c.letters(t)) for n, t in items.where("item_id is not null and text is not null").select("item_id", "text").collect())
-    asked = [(n, t) for n, t in asked if len(t) >= run]
-    kind = "doc_id bigint, item_id bigint, run int, cosine double, lcs double, numbers boolean"
+    asked = sorted((n, t) for n, t in items.where("item_id is not null and text is not null").select("item_id", "text").collect())
+    asked = [(n, t) for n, t in asked if len(c.letters(t)) >= run]
     if not asked:
-        return docs.sparkSession.createDataFrame([], kind)
-    space = latent_space(long, asked)
-    shared = docs.sparkSession.sparkContext.broadcast(space)
+        return docs.sparkSession.createDataFrame([], _KIND)
+    shape = VERBATIM if share is None else REWORDED
+    space = latent_space(long, asked, sample, shape)
+    sc = docs.sparkSession.sparkContext
     out = None
     for k in range(0, len(asked), block):
         part = asked[k : k + block]
-        level = threshold(part, space)
-        level = level if near is None else min(near, level)
+        wide = SAME if share is None else min(SAME, threshold(part, space, share)) if near is None else near
+        shared = sc.broadcast((Index(part, space, shape, wide), space))
 
-        def search(batches, part=part, level=level):
-            return _search(part, shared.value, level, run)(batches)
+        def search(batches, shared=shared):
+            return _search(*shared.value, run, share is not None)(batches)
 
-        found = long.mapInArrow(search, kind)
+        found = long.mapInArrow(search, _KIND)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -270,6 +396,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("run > 0").select("doc_id", "item_id").distinct()
 
 
+def p8_reworded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, cosine, lcs): no long verbatim run, but found by the latent search, most words in order, all answers there."""
+    found = leaks(c.table(spark, sf_dir, "documents"), c.table(spark, sf_dir, "eval_items"), share=0.7)
+    return found.where("run = 0 and lcs >= 0.7 and answers").select("doc_id", "item_id", "cosine", "lcs")
+
+
 def _packed(texts: list[str]) -> tuple[dict[str, int], int, list[tuple[int, int]]]:
     """Texts side by side in one integer, a free bit behind each for its carry: (bits of each letter, all bits, (place, length) of each)."""
     at: dict[str, int] = {}

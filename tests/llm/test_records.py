@@ -233,6 +233,54 @@ def test_leaks_are_those_of_brute_force(spark):
     assert leakage.leaks(left.where("doc_id < 0"), right).count() == 0
 
 
+def test_reworded_items_are_found_and_answers_count(spark):
+    rng = random.Random(21)
+    items = {k: sentence(rng, 14) for k in range(20)} | {k: " ".join(rng.choice(WORDS) for _ in range(18)) for k in range(20, 30)}
+    docs, other = {}, {}
+    for d in range(90):
+        words = items[d % 30].split()
+        for k in range(rng.randrange(4), len(words), 4 + d % 3):  # words are replaced, numbers and the longest words stay
+            if not leakage.answers(items[d % 30]) & {c.letters(words[k])}:
+                words[k] = rng.choice(WORDS) + "".join(x for x in words[k] if x.isdigit())
+        docs[d] = sentence(rng, rng.randrange(5, 30)) + " " + " ".join(words) + " " + sentence(rng, rng.randrange(5, 30))
+        other[1000 + d] = docs[d].translate(str.maketrans("0123456789", "3456789012"))  # the same words with other numbers
+    sh = leakage.REWORDED
+
+    def best(doc, item):
+        a, n = c.letters(doc), len(c.letters(item))
+        words, begin = leakage.spoken(doc)
+        cuts = [(max(0, k - n), k + sh.window + n) for k in range(0, max(1, len(a) - sh.window + 1), sh.step)]
+        cuts = [(i, j) for i, j in cuts if all(x in a[i:j] for x in leakage.answers(item))]
+        return max((leakage.words_in_order(leakage.spoken(item)[0], [w for w, b in zip(words, begin) if i <= b < j]) for i, j in cuts), default=0)
+
+    def verbatim(doc, item, n=60):
+        a, b = c.letters(doc), c.letters(item)
+        return any(b[k : k + n] in a for k in range(len(b) - n + 1))
+
+    every = docs | other | {5000: "", 5001: "w" * 300}
+    want = {(d, k) for d, t in every.items() for k, i in items.items() if best(t, i) >= 0.7 and not verbatim(t, i)}
+    left = spark.createDataFrame([*every.items(), (5002, None)], "doc_id bigint, text string")
+    right = spark.createDataFrame([*items.items(), (99, None), (98, "")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in leakage.leaks(left, right, share=0.7).where("run = 0 and lcs >= 0.7 and answers").collect()}
+    planted = {(d, d % 30) for d in docs} & want  # others meet the bar by chance, in a fixture of fifty words
+    assert got <= want and len(planted) > 60 and len(got & planted) >= 0.9 * len(planted)
+    assert not any(d >= 1000 and d - 1000 in docs and k < 20 and leakage.answers(items[k]) for d, k in got)
+
+
+def test_cells_lose_no_window():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    items = [(k, "".join(chr(0xAC00 + int(x)) for x in rng.integers(0, 900, 90))) for k in range(30)]
+    space = rng.normal(size=(leakage.FEATURES, 16)).astype(np.float32)
+    asked = np.concatenate([leakage.windows(t[7:], space, 15, leakage.VERBATIM) for _, t in items] + [leakage._unit(rng.normal(size=(200, 16))).astype(np.float32)])
+    for near in (leakage.SAME, 0.9, 0.5):
+        index = leakage.Index(items, space, leakage.VERBATIM, near)
+        row, item, cosine = index.search(asked)
+        full = asked @ index.vectors.T
+        assert len(row) == (full >= near).sum() >= 30 * 3 and sorted(zip(row.tolist(), item.tolist())) == sorted((int(a), int(index.owner[b])) for a, b in zip(*np.nonzero(full >= near)))
+
+
 def test_common_subsequence():
     assert leakage.common_subsequence("abcde", "xaxcxe") == 3 and leakage.common_subsequence("가나다", "") == 0
     assert leakage.longest_run("0123456789" * 2, "ab0123456789c", 8) == 10
