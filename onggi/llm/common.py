@@ -13,6 +13,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,46 @@ def letters_of(form: str) -> str:
     return _NOT_LETTERS.sub("", form.lower())
 
 
+def points(texts: list[str]) -> np.ndarray:
+    """Code points of all texts, one after the other."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+@lru_cache(1)
+def _unusual_points() -> np.ndarray:
+    pattern, out = unusual(), np.zeros(0x110000, bool)
+    for low, high in _RANGES:
+        out[low:high] = [pattern.match(chr(p)) is not None for p in range(low, high)]
+    return out
+
+
+@lru_cache(1)
+def _letter_points() -> np.ndarray:
+    return np.array([chr(p).isalnum() for p in range(0x110000)])
+
+
+def canon_all(texts: list[str]) -> list[str]:
+    """``canon`` of many texts: only those with an unusual character are folded, which is looked up for all at once."""
+    if not texts:
+        return []
+    met = np.r_[0, np.cumsum(_unusual_points()[points(texts)])]
+    ends = np.cumsum([len(t) for t in texts])
+    odd = met[ends] > met[np.r_[0, ends[:-1]]]
+    return [_fold(t) if o else t for t, o in zip(texts, odd.tolist())]
+
+
+def letters_all(forms: list[str]) -> list[str]:
+    """``letters_of`` of many texts."""
+    if not forms:
+        return []
+    low = [t.lower() for t in forms]
+    every = points(low)
+    keep = _letter_points()[every]
+    kept = every[keep].tobytes().decode("utf-32-le", "surrogatepass")
+    ends = np.r_[0, np.cumsum(keep)][np.cumsum([len(t) for t in low])].tolist()
+    return [kept[a:b] for a, b in zip([0, *ends], ends)]
+
+
 #: The same test in Java syntax, a little wider: text that may need ``canon``.
 UNUSUAL_JAVA = (
     r"[\p{Cf}\p{M}\u00a0\u0251\u0261\u0370-\u058f\u1100-\u11ff\u1680\u1f00-\u1fff\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2100-\u214f"

@@ -71,7 +71,7 @@ def _joined(texts: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _plain(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    return [c.letters(t) if t else "" for t in batch.column(column).to_pylist()]
+    return c.letters_all(c.canon_all([t or "" for t in batch.column(column).to_pylist()]))
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
@@ -286,7 +286,7 @@ def _search(index: Index, space: np.ndarray, run_length: int, similar: bool):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "item_id", "run", "cosine", "lcs", "answers"])
 
     def _hits(docs: list, stored: list[str]) -> list[tuple]:
-        texts, shape = [c.letters(t) for t in stored], index.shape
+        texts, shape = c.letters_all(c.canon_all(stored)), index.shape
         f, starts, many = _joined(texts, shape)
         count = np.maximum(many - (shape.window - shape.piece) + shape.step - 1, 0) // shape.step
         which = np.repeat(np.arange(len(texts)), count)

@@ -179,8 +179,8 @@ def _records(buckets: int):
         names = ["src", "rec_id", "form", "full", "unit", "letters", "part", "counts"]
         for batch in batches:
             src, rec = batch.column("src").to_pylist(), batch.column("rec_id")
-            forms = [c.canon(t) for t in batch.column("text").to_pylist()]
-            plain = [c.letters_of(f) for f in forms]
+            forms = c.canon_all(batch.column("text").to_pylist())
+            plain = c.letters_all(forms)
             form = [hashlib.blake2b(f.encode(errors="surrogatepass"), digest_size=16).digest() for f in forms]
             full = [hashlib.blake2b(f"{s}\0{p}".encode(errors="surrogatepass"), digest_size=16).digest() for s, p in zip(src, plain)]
             unit = np.frombuffer(b"".join(full), np.int64)[::2]  # a short name for the trees; the full digest is the unit

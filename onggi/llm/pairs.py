@@ -1,7 +1,7 @@
 """Broken prompt and response pairs: ordered rules that name every defect of an answer.
 
 Rules in their order: ``empty`` (missing, null, blank, a placeholder or a label only), ``copy`` (the question again, but for
-labels, marks and spacing), ``refusal`` (every sentence declines, apologises or takes leave, and one declines),
+labels, marks and spacing, or the question once more), ``refusal`` (every sentence declines, apologises or takes leave, and one declines),
 ``language`` (mostly in another language than the question, which didn't ask for it), ``truncated`` (as the truncation
 operator decides, with its corpus counts). Every rule that fires is emitted by ``defects``; the query keeps the first.
 """
@@ -9,9 +9,11 @@ operator decides, with its corpus counts). Every rule that fires is emitted by `
 from __future__ import annotations
 
 import re
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +46,7 @@ DECLINING = (
     r"(?:알려|설명해|제공해) ?드릴 ?수(?:는|가)? ?없",
     r"제공(?:할|해 드릴) ?수(?:는|가)? ?없",
     r"응(?:할|하기) ?(?:수 ?없|어렵)",
-    r"\b(?:can(?:'|’)?t|cannot|can not|could not|couldn(?:'|’)t|won(?:'|’)t|will not|am unable|(?:'|’)m unable|unable to|not able to|must decline|have to decline|decline to|refuse to|not allowed to|not permitted to|do(?:es)? not allow me|don(?:'|’)t allow me|prevent me from)\b",
+    r"\b(?:can(?:'|’)?t|cannot|can not|could not|couldn(?:'|’)t|won(?:'|’)t|will not|unable to|not able to|decline to|refuse to|not (?:allowed|permitted) to|(?:do(?:es)? not|don(?:'|’)t) allow me|prevents? me)\b.{0,30}?\b(?:answer|help|assist|provid|discuss|comment|respond|reply|share|tell|talk|speak|explain|giv|say|address|advis|support|disclos|reveal|fulfil|comply|engag|describ|offer|do (?:that|this|so)|continu|go into)",
     r"(?:お答え|回答|お手伝い|お応え)(?:することは)?(?:でき|いたしかね|致しかね)|できません|対応でき",
     r"(?:无法|不能|無法|拒绝|拒絕|不便)(?:回答|提供|协助|協助|讨论|討論|帮助|评论|满足)",
     r"ไม่สามารถ(?:ตอบ|ให้|ช่วย)",
@@ -55,6 +57,8 @@ COURTESY = (
     r"\b(?:sorry|apologi[sz]e|apologies|unfortunately|regret|thank you|thanks|please ask|please consult|please contact|something else|another question|understanding)\b",
     r"申し訳|ご了承|すみません|ご理解|別の質問|抱歉|对不起|對不起|很遗憾|谅解|其他问题|ขออภัย|ขอโทษ|क्षमा|खेद|माफ़",
 )
+# One of these stands in every text that declines in one of these ways.
+SIGNS = "없 않 못 곤란 어렵 불가 거절 힘들 n't n’t cant not unable decline refuse prevent でき かね 无法 不能 無法 拒绝 拒絕 不便 ไม่สามารถ नहीं".split()
 # How a question asks for a language.
 ASKED = {
     "ko": r"한국어|한글|국문|korean|韓国語|韩语|韩文|朝鲜语",
@@ -63,6 +67,10 @@ ASKED = {
     "zh": r"중국어|중문|chinese|中国語|中文|汉语",
     "hi": r"힌디|hindi|हिन्दी|हिंदी|ヒンディー|印地语",
     "th": r"태국어|타이어|thai|ไทย|タイ語|泰语",
+    "cyrillic": r"러시아어|노어|russian|ロシア語|俄语|русск",
+    "greek": r"그리스어|희랍어|greek|ギリシャ語|希腊语",
+    "arabic": r"아랍어|arabic|アラビア語|阿拉伯语|عرب",
+    "hebrew": r"히브리어|hebrew|ヘブライ語|希伯来语",
 }
 TRANSLATING = re.compile(r"번역|통역|옮겨|translat|翻訳|翻译|翻譯", re.I)
 
@@ -71,78 +79,147 @@ _LABELS_ONLY = frozenset(c.letters(x) for x in LABELS)
 _DECLINE = re.compile("|".join(DECLINING), re.I)
 _COURTEOUS = re.compile("|".join(COURTESY), re.I)
 _ASKED = {k: re.compile(x, re.I) for k, x in ASKED.items()}
-_SCRIPTS = (("ko", re.compile("[가-힣ᄀ-ᇿ㄰-㆏]")), ("kana", re.compile("[぀-ヿ]")), ("han", re.compile("[一-鿿]")), ("th", re.compile("[฀-๿]")), ("hi", re.compile("[ऀ-ॿ]")))
-_LATIN_WORD = re.compile(r"[A-Za-zÀ-ɏ]+")
+_CLASSES = ("", "ko", "kana", "han", "th", "hi", "en", "cyrillic", "greek", "arabic", "hebrew")
+_CODES = tuple({"kana": "ja", "han": "zh"}.get(x, x) for x in _CLASSES)
+# First words of the Unicode names of letters, by the language or script they count for.
+_NAMED = {"HANGUL": 1, "HIRAGANA": 2, "KATAKANA": 2, "CJK": 3, "THAI": 4, "DEVANAGARI": 5, "LATIN": 6, "CYRILLIC": 7, "GREEK": 8, "ARABIC": 9, "HEBREW": 10}
+_WIDE = ("FULLWIDTH", "HALFWIDTH")
+
+
+@lru_cache(1)
+def _class_of() -> np.ndarray:
+    """The class of each code point of the two lowest planes and of compatible ideographs, by its name."""
+    out = np.zeros(0x110000, np.uint8)
+    for point in (*range(0x20000), *range(0x2F800, 0x2FA20)):
+        ch = chr(point)
+        if ch.isalpha() or unicodedata.category(ch) in ("Mc", "Mn"):
+            words = unicodedata.name(ch, "").split()
+            if words and words[0] in _WIDE:
+                words = words[1:]
+            out[point] = _NAMED.get(words[0], 0) if words else 0
+    out[0x20000:0x2F800] = 3
+    return out
+
+
+def languages(texts: list[str], least: int = 12) -> list[str | None]:
+    """The language or script in which most of each text is written: a word of an alphabet counts as much as two other letters. None: too little text.
+
+    Letters are classed as they are stored; in a word with Latin letters look-alikes of other alphabets count as Latin.
+    """
+    if not texts:
+        return []
+    k = len(_CLASSES)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    kinds = _class_of()[c.points(texts)].astype(np.int64)
+    n = np.bincount(owner * k + kinds, minlength=len(texts) * k).reshape(-1, k)
+    if (mixed := np.flatnonzero((n[:, 7:].sum(1) > 0) & (n[:, 6] > 0))).size:
+        texts = list(texts)
+        for i in mixed.tolist():
+            texts[i] = "".join(c.canon(w) if any(_class_of()[ord(ch)] == 6 for ch in w) else w for w in re.split(r"(\s+)", texts[i]))
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        kinds = _class_of()[c.points(texts)].astype(np.int64)
+        n = np.bincount(owner * k + kinds, minlength=len(texts) * k).reshape(-1, k)
+    same = np.r_[False, (kinds[1:] == kinds[:-1]) & (owner[1:] == owner[:-1]), False]
+    words = np.flatnonzero((kinds >= 6) & same[1:] & ~same[:-1])  # where a word of two letters or more begins
+    n[:, 0] = 0
+    n[:, 6:] = 2 * np.bincount(owner[words] * k + kinds[words], minlength=len(texts) * k).reshape(-1, k)[:, 6:]
+    kana = n[:, 2] > 0
+    n[kana, 2], n[kana, 3] = n[kana, 2] + n[kana, 3], 0
+    top, total = n.argmax(1), n.sum(1)
+    sure = (total >= least) & (n.max(1) * 2 > total)
+    return [_CODES[t] if s else None for t, s in zip(top.tolist(), sure.tolist())]
 
 
 def language(text: str, least: int = 12) -> str | None:
-    """The language in which most of a text is written, by scripts: a Latin word counts as much as two other letters. None: too little text."""
-    n = {k: len(p.findall(text)) for k, p in _SCRIPTS}
-    if n["kana"]:
-        n["ja"], n["zh"] = n.pop("kana") + n["han"], 0
-        n.pop("han")
-    else:
-        n["zh"] = n.pop("han")
-        n.pop("kana")
-    n["en"] = sum(2 for w in _LATIN_WORD.findall(text) if len(w) > 1)
-    total = sum(n.values())
-    top, most = Counter(n).most_common(1)[0]
-    return top if total >= least and most * 2 > total else None
-
-
-def _bare(text: str) -> str:
-    while m := _LABEL.match(text):
-        text = text[m.end() :]
-    return c.letters(text)
+    return languages([text], least)[0]
+
+
+def _unlabelled(form: str) -> str:
+    """A text in one form behind its labels."""
+    while m := _LABEL.match(form):
+        form = form[m.end() :]
+    return form
+
+
+def _bare(form: str, plain: str | None = None) -> str:
+    """Letters behind the labels; ``plain``: the letters of the whole."""
+    rest = _unlabelled(form)
+    return plain if plain is not None and rest is form else c.letters_of(rest)
 
 
 def is_empty(answer: str | None) -> bool:
-    if answer is None:
+    return answer is None or _is_empty(form := c.canon(answer), c.letters_of(form))
+
+
+def _is_empty(form: str, plain: str) -> bool:
+    if not plain or plain in PLACEHOLDERS or plain in _LABELS_ONLY:
         return True
-    plain = c.letters(answer)
-    return not plain or plain in PLACEHOLDERS or plain in _LABELS_ONLY or not _bare(c.canon(answer) + " ") or _bare(c.canon(answer)) in PLACEHOLDERS
+    bare = _bare(form + " ", "-")
+    return not bare or bare in PLACEHOLDERS
 
 
 def is_copy(question: str | None, answer: str) -> bool:
-    own = _bare(c.canon(answer))
-    return bool(question) and bool(own) and own in (_bare(c.canon(question)), c.letters(question))
+    return bool(question) and _is_copy(form := c.canon(question), c.letters_of(form), own := c.canon(answer), c.letters_of(own))
+
+
+def _is_copy(asked: str, asked_plain: str, said: str, said_plain: str) -> bool:
+    """Whether the answer, behind its labels, begins with the question and goes on with nothing but labels or the question again."""
+    if not asked_plain or len(said_plain) < len(bare := _bare(asked, asked_plain)):
+        return False
+    own = _bare(said, said_plain)
+    for prefix in (asked_plain, bare):
+        if prefix and own.startswith(prefix):
+            rest = own[len(prefix) :]
+            return not rest or rest in _LABELS_ONLY or not rest.replace(prefix, "")
+    return False
 
 
 def is_refusal(answer: str) -> bool:
-    text = c.canon(answer)
-    if not _DECLINE.search(text):
+    return _is_refusal(c.canon(answer))
+
+
+def _is_refusal(form: str) -> bool:
+    """Whether every sentence declines, apologises or takes leave, and one declines; of any length."""
+    if not any(x in form for x in SIGNS) or not _DECLINE.search(form):
         return False
     low, declined = 0, False
-    for high in sentence_ends(text):
-        part = text[low:high]
+    for high in sentence_ends(form):
+        part = form[low:high]
         low = high
         if _DECLINE.search(part):
-            declined |= not re.search("참석|초대|attend|invitation", part)
-        elif not _COURTEOUS.search(part) or len(part) > 90:
+            declined = True
+        elif not _COURTEOUS.search(part):
             return False
     return declined
 
 
 def other_language(question: str | None, answer: str) -> bool:
-    if not question:
-        return False
-    asked, said = language(c.canon(question), 4), language(c.canon(answer))
-    if asked is None or said is None or asked == said:
+    return bool(question) and _other_language(c.canon(question), language(question, 4), language(answer))
+
+
+def _other_language(form: str, asked: str | None, said: str | None) -> bool:
+    if said is None or asked is None or asked == said:
         return False
-    return not (_ASKED[said].search(question) or (TRANSLATING.search(question) and not any(p.search(question) for p in _ASKED.values())))
+    return not ((said in _ASKED and _ASKED[said].search(form)) or (TRANSLATING.search(form) and not any(p.search(form) for p in _ASKED.values())))
 
 
 def defects(question: str | None, answer: str | None, endings: Endings, at_limit: bool = False) -> list[str]:
     """Every defect of an answer, in the order of the rules."""
-    if is_empty(answer):
-        return ["empty"]
-    found = [
-        ("copy", is_copy(question, answer)),
-        ("refusal", is_refusal(answer)),
-        ("language", other_language(question, answer)),
-        ("truncated", endings.cut(answer, at_limit)),
-    ]
-    return [k for k, hit in found if hit]
+    return all_defects([question], [answer], endings, [at_limit])[0]
+
+
+def all_defects(questions: list[str | None], answers: list[str | None], endings: Endings, at_limit: list[bool]) -> list[list[str]]:
+    asked, said = [q or "" for q in questions], [a or "" for a in answers]
+    spoken = zip(languages(asked, 4), languages(said))
+    asked, said = c.canon_all(asked), c.canon_all(said)
+    out = []
+    for q, a, ql, al, (qs, as_), answer, limit in zip(asked, said, c.letters_all(asked), c.letters_all(said), spoken, answers, at_limit):
+        if _is_empty(a, al):
+            out.append(["empty"])
+            continue
+        found = (("copy", bool(q) and _is_copy(q, ql, a, al)), ("refusal", _is_refusal(a)), ("language", bool(q) and _other_language(q, qs, as_)), ("truncated", endings.cut(answer, limit)))
+        out.append([k for k, hit in found if hit])
+    return out
 
 
 def turn_defects(chats: DataFrame, *, small: int = 20_000) -> DataFrame:
@@ -168,12 +245,9 @@ def turn_defects(chats: DataFrame, *, small: int = 20_000) -> DataFrame:
         for batch in batches:
             chat, turn, question, answer, encoding, most = (batch.column(k).to_pylist() for k in ("chat_id", "turn", "question", "answer", "encoding", "most"))
             own = lengths([without_tail(a or "") for a in answer]) if len(answer) else None
-            out: list[list] = [[], [], []]
-            for k in range(len(answer)):
-                hit = encoding[k] is not None and most[k] - 3 < own[k, ENCODINGS.index(encoding[k])] <= most[k]
-                if found := defects(question[k], answer[k], endings, bool(hit)):
-                    for x, v in zip(out, (chat[k], turn[k], found)):
-                        x.append(v)
+            limit = [x is not None and most[k] - 3 < own[k, ENCODINGS.index(x)] <= most[k] for k, x in enumerate(encoding)]
+            found = all_defects(question, answer, endings, limit)
+            out = list(zip(*((chat[k], turn[k], x) for k, x in enumerate(found) if x))) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.string())))], ["chat_id", "turn", "defects"])
 
     side = F.broadcast(limits) if limits.count() <= small else limits

@@ -69,8 +69,8 @@ def _measure(lengths: Sequence[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(len(lengths) + 3)]
-            for text in batch.column("text").to_pylist():
-                plain = c.letters(text)
+            texts = batch.column("text").to_pylist()
+            for text, plain in zip(texts, c.letters_all(c.canon_all(texts))):
                 points = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
                 for x, n in zip(out, lengths):
                     x.append(covered(rolling(points, n), n, len(points)))

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,13 +51,20 @@ ENCODINGS = ("chars", "utf8", "utf16", "html", "html8", "json", "json8", "crlf",
 
 def lengths(texts: list[str]) -> np.ndarray:
     """Length of each text under each encoding that a store may count in: texts x ENCODINGS."""
-    a = pa.array(texts, pa.string())
-    count = lambda x: pc.count_substring(a, x).to_numpy()
-    points, utf8 = pc.utf8_length(a).to_numpy(), pc.binary_length(a).to_numpy()
-    beyond, astral = pc.count_substring_regex(a, r"[^\x00-\x7f]").to_numpy(), pc.count_substring_regex(a, r"[\x{10000}-\x{10ffff}]").to_numpy()
-    lines, quotes = count("\n"), count('"')
-    html = 4 * count("&") + 3 * (count("<") + count(">")) + 5 * quotes
-    escapes = quotes + count("\\") + lines + count("\t") + count("\r")
+    every = c.points(texts)
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64) if texts else np.zeros(0, np.int64)
+    starts = np.r_[0, ends[:-1]] if texts else ends
+
+    def count(hits: np.ndarray) -> np.ndarray:
+        total = np.r_[0, np.cumsum(hits)]
+        return total[ends] - total[starts]
+
+    beyond, astral = count(every > 0x7F), count(every > 0xFFFF)
+    points, utf8 = ends - starts, ends - starts + beyond + count(every > 0x7FF) + astral
+    low = np.where(every < 0x7F, every, 0).astype(np.uint8)
+    lines, quotes = count(low == 10), count(low == 34)
+    html = 4 * count(low == 38) + 3 * count((low == 60) | (low == 62)) + 5 * quotes
+    escapes = quotes + count(low == 92) + lines + count((low == 9) | (low == 13))
     return np.stack([points, utf8, points + astral, points + html, utf8 + html, points + escapes + 5 * beyond + 6 * astral, utf8 + escapes, points + lines, utf8 + lines], 1)
 
 
@@ -80,17 +86,22 @@ def _key(word: str) -> str:
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, source, key, a, b): counts of closing and other words by bucket, and of lengths by source and encoding."""
-    latin, last, other, thai, within, sizes = Counter(), Counter(), Counter(), Counter(), Counter(), Counter()
+    closing = np.zeros((len(KINDS), BUCKETS, 2), np.int64)
+    sizes: Counter = Counter()
     for batch in batches:
         texts, sources = batch.column("text").to_pylist(), batch.column("source").to_pylist()
         bare = [without_tail(t) for t in texts]
+        if len(sizes) > 500_000:  # what is kept in memory is bounded
+            yield _counted(np.zeros((0, 0, 0)), sizes)
+            sizes.clear()
+        latin, last, other, thai, within = (Counter() for _ in range(5))
         for source in set(sources) - {None}:
-            own = lengths([t for t, s in zip(bare, sources) if s == source and len(t) >= 40])
+            own = lengths([t for t, s in zip(bare, sources) if s == source])
             for k, name in enumerate(ENCODINGS):
                 for n, many in zip(*(x.tolist() for x in np.unique(own[:, k], return_counts=True))):
                     sizes[source, name, n] += many
-        for text in texts:
-            lines = c.canon(text).rstrip().split("\n")
+        for form in c.canon_all(texts):
+            lines = form.rstrip().split("\n")
             for k, line in enumerate(lines, 1):
                 label, final = _LABEL.match(line), k == len(lines)  # the end of the text may be a cut: nothing is learned from it
                 if label and not _SENTENCE_MARK.search(line, label.end()):
@@ -105,23 +116,31 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         run = m.group().rstrip()
                         within.update(run[max(0, j - 4) : j] for j in range(2, len(run)))
                         thai[run[-4:]] += m.group(1) is not None and not (final and m.end() == len(line))
-    words: Counter = Counter()
+        _add(closing, latin, last, other, thai, within)
+    yield _counted(closing, sizes)
+
+
+def _add(closing: np.ndarray, latin: Counter, last: Counter, other: Counter, thai: Counter, within: Counter) -> None:
+    """Words counted in one batch, to their buckets: closing ones at 0, others at 1."""
     for w, n in latin.items():
-        bare_word = w.strip(".,!?…" + CLOSERS + "“‘「")
-        if bare_word:
-            words["word", _bucket(_key(bare_word)), 0 if w.rstrip(CLOSERS)[-1:] in ".!?" and bare_word.lower() not in ABBREVIATIONS else 1] += n
+        if bare := w.strip(".,!?…" + CLOSERS + "“‘「"):
+            closes = w.rstrip(CLOSERS)[-1:] in ".!?" and bare.lower() not in ABBREVIATIONS
+            closing[KINDS["word"], _bucket(_key(bare)), 0 if closes else 1] += n
     for side, counted in ((0, last), (1, other)):
         for w, n in counted.items():
-            words["entry", _bucket(w), side] += n
-    for w in {*last, *other}:
-        for k in range(1, len(w)):
-            words["part", _bucket(w[:k]), 1] += last[w] + other[w]
+            closing[KINDS["entry"], _bucket(w), side] += n
+            for k in range(1, len(w)):
+                closing[KINDS["part"], _bucket(w[:k]), 1] += n
     for side, counted in ((0, thai), (1, within)):
         for w, n in counted.items():
-            words["thai", _bucket(w), side] += n
-    rows = [(k, "", str(b), n if side == 0 else 0, n if side else 0) for (k, b, side), n in words.items() if n]
+            closing[KINDS["thai"], _bucket(w), side] += n
+
+
+def _counted(closing: np.ndarray, sizes: Counter) -> pa.RecordBatch:
+    names = list(KINDS)
+    rows = [(names[k], "", str(b), *closing[k, b].tolist()) for k, b in np.argwhere(closing.any(2)).tolist()] if closing.size else []
     rows += [("len", s, f"{name} {n}", count, 0) for (s, name, n), count in sizes.items()]
-    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["kind", "source", "key", "a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["kind", "source", "key", "a", "b"])
 
 
 def _last_sentence(line: str) -> str:
@@ -238,8 +257,6 @@ class Endings:
             return at_limit
         if label and not answer and self._closes_entry(stem, at_limit) and not any(_PARTICLE.search(w) for w in words[:-1]):
             return False
-        if stem[:1].isupper() and body.count(stem) > 1 and len(words) > 1 and words[-2] == "from":
-            return at_limit
         word = _key(stem)
         if re.search("[가-힣]", rest) and not re.search("[a-z]{2,} [a-z]{2,}", rest):
             return True
