@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +41,19 @@ _EMOTICON = re.compile(r"(?:\s?(?:\^[_\-.]?\^;*|[:;=]-?[)(DP]+(?!\w)|ㅋ+|ㅎ+|[
 _LABEL = re.compile(r"\s*(?:[-*·•—–▪○●]|\(?\d{1,3}[.)](?!\d)|\[\d{1,3}\]|\(?[A-Za-z가-힣①-⑳][.)](?=\s|$)|[①-⑳]|(?:단계|step)\s*\d+\s*[:.)]|#+|(?:정답|답|최종답|질문|문제|풀이|해설|답변|사용자|도우미|english|korean|한국어|영어|answer|question|q|a)\s*[:.])\s*", re.I)
 _DATE = re.compile(r"\d+\.\s*\d+\.$|\d{4}\.$")
 _THAI_SPACE = re.compile(r"(?<=[฀-๿])\s+(?=\S)")
-_WORD_END = re.compile(r"\S+(?=\s)")
+_WORD_END = re.compile(r"\S+")
 _CLUSTER = re.compile(r"[ᄀ-ᅟ][ᅠ-ᆧ][ᆨ-ᇿ]?|[^\W\d_][̀-ͯ]+")
 
 
+_BREAKS = re.compile(r"\s+|[。！？।॥]+")
+_FIRST_WORD = re.compile(r"\s*([^\s。！？।॥]*)")
+_WAVES = re.compile("~*")
+_ALNUM = re.compile(r"[^\W_]")
+_OPEN_OR_CLOSE = re.compile("[" + re.escape("".join(a + b for a, b in PAIRS)) + '"]')
+_OPEN_OF, _CLOSE_OF = ({pair[side]: k for k, pair in enumerate(PAIRS)} for side in (0, 1))
+VERB_ENDS = tuple("다까요오죠")  # every ending that verb_ending knows closes with one of these
+
+
 def _batchim(ch: str) -> int:
     """Index of a Hangul syllable's final consonant; -1 for other characters."""
     return (ord(ch) - 0xAC00) % 28 if "가" <= ch <= "힣" else -1
@@ -98,14 +109,13 @@ def aligned(text: str) -> tuple[str, list[int] | None]:
 
 
 def _first_word(s: str, at: int) -> str:
-    m = re.compile(r"\s*(\S*)").match(s, at)
-    return m.group(1) if m else ""
+    return _FIRST_WORD.match(s, at).group(1)
 
 
-def _mark_score(s: str, begin: int, stop: int, after: int, quote: bool) -> float:
-    """How likely the mark s[begin:stop], closed up to ``after``, ends a sentence."""
+def _mark_score(s: str, word: int, begin: int, stop: int, after: int, quote: bool) -> float:
+    """How likely the mark s[begin:stop], behind a word from ``word`` on and closed up to ``after``, ends a sentence."""
     mark = s[begin:stop]
-    before = s[:begin].rsplit(None, 1)[-1] if begin and not s[begin - 1].isspace() else ""
+    before = s[word:begin]
     bare = before.lstrip("\"'“‘「『([{")
     following = _first_word(s, after)
     head = following.lstrip("\"'“‘「『([{")[:1]
@@ -144,27 +154,33 @@ def _mark_score(s: str, begin: int, stop: int, after: int, quote: bool) -> float
 def candidates(s: str) -> dict[int, float]:
     """Places inside a line that could end a sentence, each with the score of closing there."""
     found: dict[int, float] = {}
-    n = len(s)
+    n, word, seen = len(s), 0, 0
+    quotes = {ch: [m.start() for m in re.finditer(ch, s)] for ch in "\"'" if ch in s}
     for m in _MARKS.finditer(s):
         i, j = m.span()
+        for b in _BREAKS.finditer(s, seen, i):  # the word before the mark begins behind the last space or full stop of a script without spaces
+            word = b.end()
+        seen = i
         if m.group() == "." and i and j < n and s[j].isalnum() and s[i - 1].isalnum() and (s[j].isascii() or s[i - 1].isdigit()):
             continue
         k, quote = j, False
         while k < n and s[k] in CLOSERS:
-            if s[k] in "\"'" and s.count(s[k], 0, k) % 2 == 0:
+            if s[k] in "\"'" and bisect_left(quotes[s[k]], k) % 2 == 0:
                 break
             quote |= s[k] in "\"'”’」』"
             k += 1
         if e := _EMOTICON.match(s, k):
             k = e.end()
         if k < n:
-            found[k] = max(found.get(k, -9.0), _mark_score(s, i, j, k, quote))
+            found[k] = max(found.get(k, -9.0), _mark_score(s, word, i, j, k, quote))
     for m in _WORD_END.finditer(s):
+        if m.end() == n:
+            break
         word = m.group().rstrip("~")
-        sure = verb_ending(word.rstrip("\"'”’」』)"))
-        e = _EMOTICON.match(s, m.end()) or (re.compile("~*").match(s, m.end() - len(m.group()) + len(word)) if m.group() != word else None)
-        if not sure:
+        closed = word.rstrip("\"'”’」』)")
+        if closed[-1:] not in VERB_ENDS or not (sure := verb_ending(closed)):
             continue
+        e = _EMOTICON.match(s, m.end()) or (_WAVES.match(s, m.end() - len(m.group()) + len(word)) if m.group() != word else None)
         k = e.end() if e else m.end()
         if k >= n or k in found:
             continue
@@ -181,37 +197,37 @@ def candidates(s: str) -> dict[int, float]:
     return found
 
 
-def _balances(s: str) -> list[tuple[int, ...]]:
-    """For each place, how many quotations and brackets of each kind are open before it."""
-    open_of = {o: k for k, (o, _) in enumerate(PAIRS)}
-    close_of = {x: k for k, (_, x) in enumerate(PAIRS)}
+def _balances(s: str, places: list[int]) -> list[tuple[int, ...]]:
+    """For each of the ascending places, how many quotations and brackets of each kind are open before it."""
     depth = [0] * (len(PAIRS) + 1)
-    out = [tuple(depth)]
-    for k, ch in enumerate(s):
-        if ch in open_of:
-            depth[open_of[ch]] += 1
-        elif ch in close_of:
-            apostrophe = ch == "’" and 0 < k < len(s) - 1 and s[k - 1].isascii() and s[k - 1].isalpha() and s[k + 1].isalpha()
-            label = ch in ")]" and depth[close_of[ch]] <= 0
-            if not apostrophe and not label:
-                depth[close_of[ch]] -= 1
+    now, out, at = tuple(depth), [], 0
+    for m in _OPEN_OR_CLOSE.finditer(s):
+        k, ch = m.start(), m.group()
+        while at < len(places) and places[at] <= k:
+            out.append(now)
+            at += 1
+        if ch in _OPEN_OF:
+            depth[_OPEN_OF[ch]] += 1
         elif ch == '"':
             depth[-1] ^= 1
-        out.append(tuple(depth))
-    return out
+        else:
+            apostrophe = ch == "’" and 0 < k < len(s) - 1 and s[k - 1].isascii() and s[k - 1].isalpha() and s[k + 1].isalpha()
+            label = ch in ")]" and depth[_CLOSE_OF[ch]] <= 0
+            if not apostrophe and not label:
+                depth[_CLOSE_OF[ch]] -= 1
+        now = tuple(depth)
+    return out + [now] * (len(places) - at)
 
 
 MOST = 1.0  # of a span's score: a connective or label before, a verb ending behind
 
 
-def _span_score(s: str, i: int, j: int, depth: list[tuple[int, ...]], first: bool) -> float:
+def _span_score(s: str, i: int, j: int, opened: tuple[int, ...], closed: tuple[int, ...], first: bool) -> float:
     span = s[i:j].strip()
-    letters = sum(ch.isalnum() for ch in span[:40])
-    if letters <= 3:
-        letters = sum(ch.isalnum() for ch in span)
+    letters = sum(1 for _ in islice(_ALNUM.finditer(span), 4))
     if not letters:
         return -6.0
-    score = -5.0 * sum(a != b for a, b in zip(depth[i], depth[j]))
+    score = -5.0 * sum(a != b for a, b in zip(opened, closed)) if opened != closed else 0.0
     if _LABEL.fullmatch(span):
         return score - 8.0
     score += 0.0 if letters > 3 else -1.0
@@ -232,7 +248,7 @@ def segment(line: str) -> list[int]:
     if not found:
         return [len(line)]
     places = [0, *sorted(found), len(line)]
-    depth = _balances(line)
+    depth = _balances(line, places)
     best, back, highest = [0.0], [0], [0.0]
     for j in range(1, len(places)):
         close = found.get(places[j], 0.0)
@@ -240,7 +256,7 @@ def segment(line: str) -> list[int]:
         for i in range(j - 1, -1, -1):
             if highest[i] + MOST < top:
                 break
-            x = best[i] + _span_score(line, places[i], places[j], depth, i == 0)
+            x = best[i] + _span_score(line, places[i], places[j], depth[i], depth[j], i == 0)
             if x > top:
                 top, at = x, i
         best.append(top + close)

@@ -161,3 +161,45 @@ def test_a_sentence_may_run_over_any_number_of_marks():
     assert cut(authors + " It was good.") == [authors, "It was good."]
     exclaimed = "He said “" + "no! " * 60 + "” and left."
     assert cut(exclaimed + " It was good.") == [exclaimed, "It was good."]
+
+
+def test_a_span_of_many_abbreviations_is_one_sentence():
+    assert cut("See " + "e.g. " * 45 + "here") == ["See " + "e.g. " * 45 + "here"]
+
+
+@pytest.mark.parametrize("unit", ["The gauge was sorted in most years. He said “it is.” and left. ", "温度已经比较。随后离开了。为什么？", "값을 확인했습니다. 또한 점검했다 그리고 ", "เมื่อระดับน้ำ ต้องปรับ "])
+def test_long_lines_take_time_in_proportion(unit):
+    import time
+
+    took = []
+    for n in (20_000, 160_000):
+        text = unit * (n // len(unit))
+        began = time.process_time()
+        sentences.sentence_ends(text)
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * max(took[0], 0.02)
+
+
+def test_answers_in_other_scripts(spark):
+    e = endings(spark)
+    q = "나루 학당은 수온을 어떻게 점검합니까?"
+    assert pairs.defects(q, "Температура воды измеряется каждый день на старом мосту.", e) == ["language"] and pairs.language("ثابت في كل يوم وفي كل شهر هنا") == "arabic"
+    assert "language" in pairs.defects("How is the water temperature checked here?", "Температура воды измеряется каждый день на старом мосту.", e)
+    assert "language" not in pairs.defects("How is the water temperature checked here?", "The wаter temperаture is checked dаily.", e)  # Cyrillic look-alikes
+    assert pairs.defects("나루에 관한 글을 러시아어로 써 주세요.", "Температура воды измеряется каждый день на старом мосту.", e) == []
+
+
+def test_copies_and_refusals_of_any_form(spark):
+    e = endings(spark)
+    q = "나루 학당은 수온을 어떻게 점검합니까?"
+    assert pairs.defects(q, q + " 답:", e)[0] == "copy" and pairs.defects(q, f"{q} {q}", e)[0] == "copy"
+    assert "copy" not in pairs.defects(q, q + " 매일 아침 점검합니다.", e)
+    assert pairs.is_refusal("I'm sorry, but I can't help with that.") and pairs.is_refusal("I am unable to comment on this request.")
+    assert not pairs.is_refusal("The valve cannot open below zero.") and not pairs.is_refusal("늦어서 죄송합니다. 수온을 먼저 점검했습니다.")
+
+
+def test_a_short_storage_limit_shows(spark):
+    rng = random.Random(2)
+    rows = [("t", k, "".join(rng.choice("가나다라마바사 ") for _ in range(rng.randrange(20, 90)))[:30].ljust(1, "가"), "tiny") for k in range(200)]
+    df = spark.createDataFrame(rows, "src string, rec_id bigint, text string, source string")
+    assert [(r.source, r.most) for r in truncation.learned(df)[1].collect()] == [("tiny", 30)]
