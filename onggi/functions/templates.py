@@ -24,15 +24,20 @@ def _pieces(template: str, values: dict[str, Column]) -> list[Column]:
     return [F.lit(template)] if template else []
 
 
+def _fields(labels: tuple[str, ...], values: list[Column]) -> Column:
+    """Lines "label: value"; a label without a value stands alone and open."""
+    named = [F.concat(F.lit(f"{label}: "), v) for label, v in zip(labels, values)]
+    return F.concat_ws("\n", *named, *(F.lit(f"{label}:") for label in labels[len(values) : len(values) + 1]))
+
+
 def few_shot_prompt(task: str, exemplars: list[dict[str, str]], passage: ColumnLike, term: ColumnLike | None = None, audience: str | None = None, register: str | None = None) -> Column:
     """Exemplar blocks, then the open block up to the first field to generate; instructions become a header."""
     labels, inputs = p.TASKS[task]
-    blocks = ["\n".join(f"{label}: {e[label]}" for label in labels) for e in exemplars]
-    value = {"passage": passage, "term": term}
-    opened = [F.concat(F.lit(f"{label}: "), col(value[name])) for label, name in zip(labels, inputs)]
-    body = F.concat_ws(p.DELIMITER, *map(F.lit, blocks), F.concat_ws("\n", *opened, F.lit(f"{labels[len(inputs)]}:")))
-    asked = [x for x in (p.AUDIENCES[audience][0] if audience else "", p.STYLES[register][0] if register else "") if x]
-    return F.concat(F.lit(f"다음 실례들을 참고하여, {' '.join(asked)}\n\n"), body) if asked else body
+    given = {"passage": passage, "term": term}
+    shown = [_fields(labels, [F.lit(e[label]) for label in labels]) for e in exemplars]
+    body = F.concat_ws(p.DELIMITER, *shown, _fields(labels, [col(given[name]) for name in inputs]))
+    header = " ".join(table[key][0] for table, key in ((p.AUDIENCES, audience), (p.STYLES, register)) if key)
+    return F.concat(F.lit(f"다음 실례들을 참고하여, {header}\n\n"), body) if header else body
 
 
 def taken(completion: ColumnLike) -> Column:
@@ -122,3 +127,9 @@ def new_task_messages(seeds: ColumnLike, n: int = 8) -> Column:
     """Asks for n new instructions unlike an array of seeds."""
     listed = F.concat_ws("\n", F.transform(col(seeds), lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), s)))
     return chat(("user", F.concat(F.lit("아래에 몇가지 작업(지시)이 있습니다:\n"), listed, F.lit(f"\n\n이와 다르고 다양한 {n}개의 새로운 작업을 조선어로 작성하시오. 매 작업을 번호와 함께 새 줄에 작성하시오. 작업은 명확하고 다양한 주제에서 나오도록 하시오."))))
+
+
+def problem_messages(problem: ColumnLike, verifier: ColumnLike, systems: dict[str, str] | None = None) -> Column:
+    """The system message of a row's verifier (that of mathematics for an unknown one) and the problem."""
+    known = F.create_map(*(F.lit(x) for kv in (systems or p.SYSTEMS).items() for x in kv))
+    return chat(("system", F.coalesce(F.try_element_at(known, col(verifier)), F.lit(p.SYSTEMS["math"]))), ("user", col(problem)))
