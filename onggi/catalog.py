@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .functions import chat, markdown, text, verify
 from .functions import profiles as p
 from .operators import blend, cluster, filters, pack, prefer, report, stats, vocab
+from .operators.common import numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -43,10 +44,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Query]:
+    from . import catalog_rows  # noqa: F401  (adds its queries)
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalog_rows  # noqa: F401
+
     return dict(_sql)
 
 
@@ -61,7 +66,8 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "chats", "chat_id", "chat_id", "messages", "source").withColumn("answer", chat.first_assistant())
+    """First answers; deliveries are made distinct after all but the answer is left out."""
+    return _table(spark, sf, "chats", None, "chat_id", "messages", "source").select("chat_id", "source", chat.first_assistant().alias("answer")).dropDuplicates(["chat_id"])
 
 
 def _outputs(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,7 +261,8 @@ def pool_filter_reasons(spark, sf):
 
 @query(f"SELECT source, count(*) AS chats, count_if(len(list_filter(messages, lambda m: m.role = 'assistant' AND ({_share('m.content', 'Hangul', '1.0')}) < 0.6)) > 0) AS flagged FROM {A} GROUP BY source")
 def language_gate(spark, sf):
-    return filters.language_gate(_answers(spark, sf)).groupBy("source").agg(F.count("*").alias("chats"), F.count_if("flagged").alias("flagged"))
+    flags = filters.language_gate(_table(spark, sf, "chats", None, "chat_id", "messages", "source")).select("chat_id", "source", "flagged").dropDuplicates(["chat_id"])
+    return flags.groupBy("source").agg(F.count("*").alias("chats"), F.count_if("flagged").alias("flagged"))
 
 
 @query(f"""SELECT exemplar_id, round(CASE WHEN len(s) = 0 THEN 1.0 ELSE len(list_intersect(s, a))::DOUBLE / len(s) END, 6) AS overlap FROM (
@@ -318,7 +325,9 @@ _SLICES = f"""SELECT coalesce(lang, 'ko') AS lang, verified, n AS k, score, domi
     round(avg((score < 0.8)::INT::DOUBLE) FILTER (lang = 'ko' AND k >= 2), 6) AS register_mix_rate, {", ".join(f"count_if(lang = 'ko' AND k >= 2 AND dominant = '{level}') AS n_{name}" for level, name in zip(p.REGISTERS, ("hapsyo", "haeyo", "muneo", "hae")))}
     FROM ({_SLICES}) GROUP BY ROLLUP (lang)""")
 def eval_slices(spark, sf):
-    return report.eval_slices(report.scored(_outputs(spark, sf), "prediction", verified=verify.verify("prediction", "gold", "verifier", "n_options")))
+    every = _table(spark, sf, "predictions", None, "pred_id", "prediction", "lang", "gold", "n_options", "verifier")
+    scored = report.scored(every, "prediction", verified=verify.verify("prediction", "gold", "verifier", "n_options")).drop("prediction", "gold", "n_options", "verifier")
+    return report.eval_slices(scored.dropDuplicates(["pred_id"]))
 
 
 def _samples(spark, sf) -> DataFrame:
@@ -418,23 +427,24 @@ _N = f"len({_words('text')})"
     r AS (SELECT key, k, n, 0::BIGINT AS pack, n AS held, n >= 300 OR n >= 1000 AS closed FROM d WHERE k = 1 UNION ALL
         SELECT d.key, d.k, d.n, r.pack + (r.closed OR d.n >= 300 OR r.held + d.n > 1000)::INT::BIGINT, CASE WHEN r.closed OR d.n >= 300 OR r.held + d.n > 1000 THEN d.n ELSE r.held + d.n END,
         d.n >= 300 OR CASE WHEN r.closed OR r.held + d.n > 1000 THEN d.n ELSE r.held + d.n END >= 1000 FROM r JOIN d ON d.key = r.key AND d.k = r.k + 1)
-    SELECT key, pack, count(*) AS n_docs, sum(n)::BIGINT AS tokens FROM r GROUP BY key, pack""")
+    SELECT r.key, pack, count(*) AS n_docs, sum(r.n)::BIGINT AS tokens, md5(string_agg(t.text, chr(10) || chr(10) ORDER BY r.k)) AS digest
+    FROM r JOIN d ON d.key = r.key AND d.k = r.k JOIN documents t ON t.doc_id = d.doc_id GROUP BY r.key, pack""")
 def pack_docs(spark, sf):
-    return pack.pack(_docs(spark, sf), target=1000, least=300, key="source").select("key", "pack", "n_docs", "tokens")
+    return pack.pack(_docs(spark, sf), target=1000, least=300, key="source").select("key", "pack", "n_docs", "tokens", F.md5("text").alias("digest"))
 
 
-_POOLS = "WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents WHERE kind = 'passage'), b AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents WHERE kind = 'qa')"
+_POOLS = "WITH a AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents WHERE kind = 'passage'), b AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents WHERE kind = 'qa')"
 
 
 def _draws(pool: str, table: str, n: int) -> str:
-    return f"SELECT '{pool}' AS pool, draw, t.doc_id FROM (SELECT unnest(range(0, {n})) AS draw) JOIN {table} t ON t.k = {_hash('7', chr(39) + pool + chr(39), 'draw')} % (SELECT count(*) FROM {table})"
+    return f"SELECT '{pool}' AS pool, draw, t.doc_id, md5(t.text) AS digest FROM (SELECT unnest(range(0, {n})) AS draw) JOIN {table} t ON t.k = {_hash('7', chr(39) + pool + chr(39), 'draw')} % (SELECT count(*) FROM {table})"
 
 
 @query(f"{_POOLS} {_draws('passages', 'a', 700)} UNION ALL {_draws('questions', 'b', 300)}")
 def blend_sample(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "kind")
+    d = _docs(spark, sf).select("doc_id", "kind", "text")
     pools = {"passages": (d.where("kind = 'passage'"), "doc_id"), "questions": (d.where("kind = 'qa'"), "doc_id")}
-    return blend.blend(pools, {"passages": 0.7, "questions": 0.3}, 1000, seed=7).select("pool", "draw", "doc_id")
+    return blend.blend(pools, {"passages": 0.7, "questions": 0.3}, 1000, seed=7).select("pool", "draw", "doc_id", F.md5("text").alias("digest"))
 
 
 @query("""WITH s AS (SELECT kind, sum(n_chars)::DOUBLE AS size, count(*)::DOUBLE AS w FROM documents WHERE n_chars IS NOT NULL GROUP BY kind)
@@ -486,12 +496,14 @@ def pairwise_cosine(spark, sf):
 
 
 def _vocab(spark, sf, kind: str) -> DataFrame:
+    """Words of a kind of documents, numbered in the order of their first occurrence."""
     w = _docs(spark, sf).where((F.col("kind") == kind) & F.col("text").isNotNull()).select("doc_id", F.posexplode(text.words("text")).alias("at", "token"))
-    return w.groupBy("token").agg((F.min(F.col("doc_id") * 100_000 + F.col("at"))).alias("id"))
+    first = w.groupBy("token").agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    return numbered(first, "first", name="id")[0].select("token", "id")
 
 
 def _vocab_sql(kind: str) -> str:
-    return f"(SELECT token, min(doc_id * 100000 + i - 1) AS id FROM (SELECT doc_id, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS i FROM (SELECT doc_id, {_words('text')} AS t FROM documents WHERE kind = '{kind}' AND text IS NOT NULL)) GROUP BY token)"
+    return f"(SELECT token, row_number() OVER (ORDER BY doc_id, i) - 1 AS id FROM (SELECT token, min(doc_id) AS doc_id, arg_min(i, (doc_id, i)) AS i FROM (SELECT doc_id, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS i FROM (SELECT doc_id, {_words('text')} AS t FROM documents WHERE kind = '{kind}' AND text IS NOT NULL)) GROUP BY token))"
 
 
 @query(f"WITH b AS {_vocab_sql('qa')}, e AS {_vocab_sql('cot')} SELECT token, id FROM b UNION ALL SELECT token, (SELECT max(id) FROM b) + row_number() OVER (ORDER BY id, token) AS id FROM e WHERE token NOT IN (SELECT token FROM b)")
@@ -504,9 +516,9 @@ def embedding_plan(spark, sf):
     return vocab.embedding_plan(_vocab(spark, sf, "qa"), _vocab(spark, sf, "cot"))
 
 
-@query("""WITH p AS (SELECT vec_id AS id, unnest([vec_id, vec_id + 1]) AS piece FROM embeddings), m AS (SELECT p.id, list_transform(range(1, 4), lambda k: embedding[k]) AS e FROM p JOIN embeddings v ON v.vec_id = p.piece)
-    SELECT id, round(avg(e[1]::DOUBLE)::FLOAT::DOUBLE, 4) + 0.0 AS x1, round(avg(e[2]::DOUBLE)::FLOAT::DOUBLE, 4) + 0.0 AS x2, round(avg(e[3]::DOUBLE)::FLOAT::DOUBLE, 4) + 0.0 AS x3 FROM m GROUP BY id""")
+@query("""WITH p AS (SELECT vec_id AS id, unnest([vec_id, vec_id + 1]) AS piece FROM embeddings), m AS (SELECT p.id, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS k FROM p JOIN embeddings e ON e.vec_id = p.piece)
+    SELECT id, k::INT AS k, round(avg(v::DOUBLE)::FLOAT::DOUBLE, 4) + 0.0 AS x FROM m GROUP BY id, k""")
 def mean_rows(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
     m = vocab.mean_rows(e.select("id", F.array(F.col("id"), F.col("id") + 1).alias("pieces")), e)
-    return m.select("id", *((F.round(F.get("embedding", F.lit(k)).cast("double"), 4) + 0.0).alias(f"x{k + 1}") for k in range(3)))
+    return m.select("id", F.posexplode("embedding").alias("k", "v")).select("id", "k", (F.round(F.col("v").cast("double"), 4) + 0.0).alias("x"))

@@ -231,10 +231,16 @@ def repeats_ngram(x: ColumnLike, n: int = 4, times: int = 3) -> Column:
     return let(words(x), lambda t: (F.size(t) >= n * times) & let(F.array_sort(ngrams(t, n)), met))
 
 
+def is_json(x: ColumnLike) -> Column:
+    """Whether a text is one JSON value and nothing else. The engine's parser stops behind the first value, so the text must also be whole inside a list and an object."""
+    listed, named = F.concat(F.lit("["), strip(x), F.lit("]")), F.concat(F.lit('{"v":'), strip(x), F.lit("}"))
+    return F.try_parse_json(listed).isNotNull() & F.try_parse_json(named).isNotNull() & (F.json_array_length(listed) == 1)
+
+
 def follows_format(x: ColumnLike, kind: ColumnLike) -> Column:
     """Whether a text parses as JSON or has a list line, as ``kind`` asks; anything else is fine."""
     text, k = col(x), col(kind)
-    return F.when(k == "json", F.try_parse_json(strip(text)).isNotNull()).when(k == "list", text.rlike(r"(?:^|\n)(?U:\s)*(?:-|•|\d+[.)])(?U:\s)+")).otherwise(True)
+    return F.when(k == "json", is_json(text)).when(k == "list", text.rlike(r"(?:^|\n)(?U:\s)*(?:-|•|\d+[.)])(?U:\s)+")).otherwise(True)
 
 
 def squeezed(x: ColumnLike) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import profiles as p
 from ..functions import templates, text
-from .common import numbered
+from .common import numbered, ranked
 
 
 def weights(df: DataFrame, weight: str = "weight") -> DataFrame:
@@ -47,15 +47,18 @@ def draw(df: DataFrame, k: int, *keys: str, seed: int = 0) -> DataFrame:
 
 
 def draw_each(df: DataFrame, k, *keys: str, by: str, seed: int = 0) -> DataFrame:
-    """The same within each value of ``by``; ``k`` a number or a column (a quota)."""
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(text.stable_hash(seed, *keys), *keys))
-    return df.withColumn("_r", rank).where(F.col("_r") <= (F.lit(k) if isinstance(k, int) else k)).drop("_r")
+    """The same within each value of ``by``; ``k`` a number, where Spark stops ranking at it, or a column (a quota)."""
+    if isinstance(k, int):
+        rank = F.row_number().over(Window.partitionBy(by).orderBy(text.stable_hash(seed, *keys), *keys))
+        return df.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    return ranked(df, by, text.stable_hash(seed, *keys), *keys).where(F.col("_rank") <= k).drop("_rank", "_rows")
 
 
 def split(df: DataFrame, share: float, *keys: str, by: str, seed: int = 0) -> DataFrame:
     """Adds ``part``: calibration for the first ``share`` of each stratum in hash order, test for the rest."""
-    rank = F.percent_rank().over(Window.partitionBy(by).orderBy(text.stable_hash(seed, *keys), *keys))
-    return df.withColumn("part", F.when(rank < share, "calibration").otherwise("test"))
+    rows = ranked(df, by, text.stable_hash(seed, *keys), *keys)
+    place = F.when(F.col("_rows") > 1, (F.col("_rank") - 1) / (F.col("_rows") - 1)).otherwise(0.0)
+    return rows.withColumn("part", F.when(place < share, "calibration").otherwise("test")).drop("_rank", "_rows")
 
 
 def sweep(df: DataFrame, **axes: list[str]) -> DataFrame:
@@ -102,25 +105,48 @@ def haystacks(spark: SparkSession, filler: list[str], *, lang: str = "ko", lengt
     return cell.mapInPandas(build, "prompt string, answer string, lang string, context_tokens int, depth double")
 
 
-def sudokus(spark: SparkSession, n: int, *, blanks: int = 45, seed: int = 0) -> DataFrame:
-    """(id, puzzle, solution) as JSON: a solved grid shuffled by symmetries that keep it solved, then ``blanks`` cells cleared; by row id, so reproducible."""
+def solved_grid(rng: np.random.Generator) -> np.ndarray:
+    """A random solved sudoku: the open cell with the fewest digits left is filled next, by a digit drawn at random; dead ends go back."""
+    cells = np.arange(81)
+    unit = np.stack([cells // 9, 9 + cells % 9, 18 + cells // 27 * 3 + cells % 9 // 3], 1)
+    value, free = np.zeros(81, np.int64), np.full(27, 0b111111111)
+    trail: list[tuple[int, list[int]]] = []
+    while len(trail) < 81:
+        open_ = np.flatnonzero(value == 0)
+        left = free[unit[open_]]
+        left = left[:, 0] & left[:, 1] & left[:, 2]
+        at = int(np.bitwise_count(left).argmin())
+        cell, digits = int(open_[at]), [d for d in rng.permutation(9).tolist() if left[at] >> d & 1]
+        while not digits:  # back to the last cell with another choice
+            cell, digits = trail.pop()
+            free[unit[cell]] |= 1 << int(value[cell]) - 1
+            value[cell] = 0
+        digit = digits.pop()
+        value[cell] = digit + 1
+        free[unit[cell]] &= ~(1 << digit)
+        trail.append((cell, digits))
+    return value.reshape(9, 9)
+
+
+def sudokus(spark: SparkSession, n: int, *, level: str = "medium", blanks: int | None = None, seed: int = 0) -> DataFrame:
+    """(id, problem, puzzle, solution): a solved grid with as many cells cleared as the level says, or ``blanks``; puzzle and solution as JSON. By row id, so reproducible."""
+    blanks = p.SUDOKU_BLANKS[level] if blanks is None else blanks
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = (np.arange(9)[:, None] % 3 * 3 + np.arange(9)[:, None] // 3 + np.arange(9)) % 9
         for b in batches:
-            puzzles, solutions = [], []
+            problems, puzzles, solutions = [], [], []
             for k in b["id"]:
                 rng = np.random.default_rng((seed, int(k)))
-                bands = lambda: np.concatenate([3 * g + rng.permutation(3) for g in rng.permutation(3)])  # noqa: E731, B023
-                grid = rng.permutation(9)[base[bands()][:, bands()]] + 1
-                grid = grid.T if rng.integers(2) else grid
+                grid = solved_grid(rng)
                 hidden = grid.copy()
-                hidden.reshape(-1)[rng.choice(81, blanks, replace=False)] = 0
+                hidden.reshape(-1)[rng.permutation(81)[:blanks]] = 0
+                shown = "\n".join(" ".join(str(x) if x else "." for x in row) for row in hidden.tolist())
+                problems.append(p.SUDOKU_PROBLEM.replace("{grid}", shown))
                 puzzles.append(str(hidden.tolist()))
                 solutions.append(str(grid.tolist()))
-            yield pd.DataFrame({"id": b["id"], "puzzle": puzzles, "solution": solutions})
+            yield pd.DataFrame({"id": b["id"], "problem": problems, "puzzle": puzzles, "solution": solutions})
 
-    return spark.range(n).mapInPandas(make, "id bigint, puzzle string, solution string")
+    return spark.range(n).mapInPandas(make, "id bigint, problem string, puzzle string, solution string")
 
 
 def format_prompts(entities: DataFrame, forms: list[tuple[str, str]], *, entity: str = "entity", seed: int = 0, each: int = 1) -> DataFrame:

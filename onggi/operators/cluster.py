@@ -119,3 +119,18 @@ def excluded(df: DataFrame, held_out: DataFrame, *, id: str, column: str = "text
     """(id, n_shared) of rows that share an n-word shingle with held-out texts. Only digests are shuffled, counted once for each row."""
     key = lambda d, *c: d.select(*c, F.explode(shingles(column, n)).alias("g")).select(*c, F.xxhash64("g").alias("h"))
     return key(df, id).join(key(held_out).distinct(), "h").groupBy(id).agg(F.count("*").alias("n_shared"))
+
+
+def passage_pool(df: DataFrame, held_out: DataFrame, *, id: str = "id", column: str = "text", least: int = 100, most: int = 2000, threshold: float = 0.8, n: int = 5) -> DataFrame:
+    """Adds ``reason``: length (outside ``least`` to ``most`` characters), copy (an earlier row has the same text), near_copy (an earlier row's
+    n-word shingles are as similar as the threshold), leak (it shares a shingle with a held-out text); the first that holds."""
+    sized = df.withColumn("_key", F.md5(F.col(column)))
+    inside = sized.where(F.length(column).between(least, most))
+    first = inside.groupBy("_key").agg(F.min(id).alias("_first"))
+    distinct = inside.join(first, (inside[id] == first["_first"]) & (inside["_key"] == first["_key"]), "left_semi")
+    sets = cut(distinct.select(F.col(id).alias("id"), shingles(column, n).alias("tokens")).where(F.size("tokens") > 0))
+    near = similar_pairs(sets, threshold).select(F.col("b").alias(id)).distinct().withColumn("_near", F.lit(True))
+    leak = excluded(distinct, held_out, id=id, column=column, n=n).select(id, F.lit(True).alias("_leak"))
+    out = sized.join(first, "_key", "left").join(near, id, "left").join(leak, id, "left")
+    reason = F.when(~F.coalesce(F.length(column).between(least, most), F.lit(False)), "length").when(F.col(id) != F.col("_first"), "copy").when(F.col("_near"), "near_copy").when(F.col("_leak"), "leak")
+    return out.withColumn("reason", reason).drop("_key", "_first", "_near", "_leak")

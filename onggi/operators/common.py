@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,17 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "row") -> tuple[Da
         return placed.drop("_part", "_at").withColumn(name, F.lit(0).cast("bigint")), 0
     offsets = df.sparkSession.createDataFrame(starts, "_part int, _start bigint")
     return placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start"), total
+
+
+def ranked(df: DataFrame, by: str, hash: Column, *keys: str, ranges: int = 1024) -> DataFrame:
+    """Adds _rank (from 1) by (hash, keys) within each value of ``by``, and _rows, how many it has.
+
+    A hash below 2^60 is cut into ranges: counts of the ranges before (a small table) are added to the place inside the
+    range, so a value that a third of all rows share is sorted in many tasks.
+    """
+    cut_ = df.withColumn("_h", hash).withColumn("_range", F.shiftrightunsigned("_h", 60 - ranges.bit_length() + 1))
+    counts = cut_.groupBy(by, "_range").agg(F.count("*").alias("_c"))
+    before = counts.withColumn("_before", F.sum("_c").over(Window.partitionBy(by).orderBy("_range")) - F.col("_c")).withColumn("_rows", F.sum("_c").over(Window.partitionBy(by)))
+    inside = cut_.withColumn("_at", F.row_number().over(Window.partitionBy(by, "_range").orderBy("_h", *keys)))
+    joined = inside.alias("i").join(before.select(F.col(by).alias("_by"), F.col("_range").alias("_r2"), "_before", "_rows"), F.col(f"i.{by}").eqNullSafe(F.col("_by")) & (F.col("i._range") == F.col("_r2")))
+    return joined.withColumn("_rank", F.col("_before") + F.col("_at")).drop("_h", "_range", "_by", "_r2", "_before", "_at")

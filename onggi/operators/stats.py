@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.text import ColumnLike, col
-from .common import cut
+from .common import cut, ranked
 
 
 def type_token_ratio(df: DataFrame, column: ColumnLike) -> DataFrame:
@@ -68,20 +72,27 @@ def leave_one_out(df: DataFrame, fired: ColumnLike, gold: ColumnLike, names: lis
 
 
 def bootstrap(df: DataFrame, a: ColumnLike, b: ColumnLike, *, key: str, rounds: int = 1000, seed: int = 0) -> DataFrame:
-    """One row: mean paired difference a - b with the 2.5 and 97.5 floor percentiles over Poisson resamples, each row's weights from hashes."""
+    """One row: mean paired difference a - b with the 2.5 and 97.5 floor percentiles over Poisson resamples.
+
+    A row's weights in all rounds are drawn from a hash of its key, so they don't depend on where the row lies; a task gives a sum
+    for each round, not rows. Null differences are left out.
+    """
     diff = (col(a) - col(b)).cast("double")
-    u = (F.pmod(text.stable_hash(seed, key, "r"), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    steps, total, term = [], 0.0, 0.36787944117144233
-    for k in range(8):  # a Poisson(1) weight by its distribution function
-        total += term
-        steps.append(F.lit(total))
-        term /= k + 1
-    weight = F.size(F.filter(F.array(*steps), lambda s: s < u))
-    drawn = df.select(key, diff.alias("d")).where("d is not null").withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("w", weight)
-    means = drawn.groupBy("r").agg((F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("m"))
-    sorted_ = means.agg(F.array_sort(F.collect_list("m")).alias("m"))  # one number for each round
+    rows = df.select(text.stable_hash(seed, key).alias("h"), diff.alias("d")).where("d is not null")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, rounds))
+        for batch in batches:
+            h, d = batch.column("h").to_numpy(), batch.column("d").to_numpy()
+            for k in range(0, len(h), 1000):
+                weights = np.stack([np.random.default_rng(x).poisson(1.0, rounds) for x in h[k : k + 1000].tolist()])
+                total += weights.sum(0), d[k : k + 1000] @ weights
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(rounds)), pa.array(total[0]), pa.array(total[1])], ["r", "w", "wd"])
+
+    sums = rows.mapInArrow(draw, "r bigint, w double, wd double").groupBy("r").agg(F.sum("w").alias("w"), F.sum("wd").alias("wd"))
+    sorted_ = sums.agg(F.array_sort(F.collect_list(F.when(F.col("w") > 0, F.col("wd") / F.col("w")))).alias("m"))  # one number for each round
     at = lambda q: F.round(F.get("m", F.floor(F.lit(q) * (F.size("m") - 1)).cast("int")), 6)
-    return sorted_.select(at(0.025).alias("low"), at(0.975).alias("high")).crossJoin(df.agg(F.round(F.avg(diff), 6).alias("difference"), F.count(diff).alias("rows")))
+    return sorted_.select(at(0.025).alias("low"), at(0.975).alias("high")).crossJoin(df.agg(F.round(F.avg(diff), 6).alias("difference"), F.count(diff).alias("rows")))  # two tables of one row
 
 
 def mcnemar(df: DataFrame, a: ColumnLike, b: ColumnLike) -> DataFrame:
@@ -144,8 +155,7 @@ def gold_bands(df: DataFrame, *, annotator: str = "annotator", label: str = "lab
 
 def quota(df: DataFrame, quotas: DataFrame, *keys: str, by: str, seed: int = 0) -> DataFrame:
     """Rows of each category up to its quota(by, quota), in hash order; a category without quota leaves."""
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(text.stable_hash(seed, *keys), *keys))
-    return df.join(quotas, by).withColumn("_r", rank).where(F.col("_r") <= F.col("quota")).drop("_r", "quota")
+    return ranked(df.join(quotas, by), by, text.stable_hash(seed, *keys), *keys).where("_rank <= quota").drop("_rank", "_rows", "quota")
 
 
 def wide(df: DataFrame, labels: list[str], *, item: str = "item", annotator: str = "annotator", label: str = "label") -> DataFrame:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ColumnLike, col
+from ..functions.text import ColumnLike, col, stable_hash
 from .common import numbered
 
 def byte_alphabet() -> dict[str, int]:
@@ -88,7 +88,7 @@ def fill_rows(plan: DataFrame, rows: DataFrame, dim: int, *, sigma: float = 0.02
     """(id, embedding): copied rows, and normal ones drawn from hashes of (seed, id, place), so every run gives the same."""
 
     def normal(i: Column) -> Column:
-        u = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col("id"), i), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+        u = lambda k: (F.pmod(stable_hash(seed, F.lit(k), "id", i), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
         return F.sqrt(-2 * F.log(u(1))) * F.cos(2 * F.pi() * u(2)) * sigma
 
     fresh = F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda i: normal(i).cast("float"))

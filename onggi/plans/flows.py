@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import templates, text
+from ..functions import markdown, profiles, templates, text
 from ..functions.chat import first_filled, numbered_lines, response_text
 from ..operators import blend, cluster, filters, prefer, report
 from ..operators.common import cut
@@ -64,3 +65,54 @@ def grown_instructions(seeds: DataFrame, proposer: Callable[[], Complete], answe
         if made.count() >= target:
             break
     return made
+
+
+def translated_chats(chats: DataFrame, mapper: Callable[[str], str], *, messages: str = "messages", roles: tuple[str, ...] = ("user", "assistant"), least: float | None = 0.6) -> DataFrame:
+    """Messages of these roles translated (Markdown stays), in one pass without a shuffle; ``reason`` low_language where an assistant turn then has
+    less than ``least`` Hangul, for the sink of kept and rejected rows. None switches the check off."""
+
+    @F.pandas_udf("array<struct<role:string,content:string>>")
+    def run(chats: pd.Series) -> pd.Series:
+        say = lambda m: markdown.map_markdown(m["content"], mapper) if m["role"] in roles and m["content"] else m["content"]
+        return chats.map(lambda turns: [{"role": m["role"], "content": say(m)} for m in turns], na_action="ignore")
+
+    out = chats.withColumn(messages, run(messages))
+    if least is None:
+        return out.withColumn("reason", F.lit(None).cast("string"))
+    return filters.language_gate(out, messages, least=least).withColumn("reason", F.when(F.col("flagged"), "low_language")).drop("flagged")
+
+
+def translated_problems(problems: DataFrame, mapper: Callable[[str], str], *, column: str = "problem") -> DataFrame:
+    """Only the problem is translated; the answer and every other column stay as they are."""
+    return problems.withColumn(column, markdown.mapped_markdown(column, mapper))
+
+
+def distilled(prompts: DataFrame, teacher: Callable[[], Complete], system: str, *, column: str = "prompt") -> DataFrame:
+    """(prompt, messages, reason) of a teacher's step-by-step answers; unacceptable ones carry a reason."""
+    asked = prompts.withColumn("_ask", F.to_json(templates.chat(("system", system), ("user", F.col(column)))))
+    said = with_model(asked, "_ask", teacher, name="_reply").drop("_ask")
+    good = F.coalesce(text.acceptable_steps("_reply"), F.lit(False))
+    return said.select(column, templates.chat(("user", F.col(column)), ("assistant", text.strip("_reply"))).alias("messages"), F.when(~good, "no_steps").alias("reason"))
+
+
+def sampled_preferences(prompts: DataFrame, sampler: Callable[[], Complete], *, column: str = "prompt", kind: str | None = None, source: str | None = None) -> DataFrame:
+    """(prompt, chosen, rejected) from two samples to each prompt; ties leave."""
+    drawn = with_model(prompts, column, sampler, name="_two", kind="array<string>").withColumns({"_a": F.get("_two", F.lit(0)), "_b": F.get("_two", F.lit(1))})
+    return prefer.preferred(drawn.withColumnsRenamed({"_a": "response_a", "_b": "response_b"}), kind=kind, source=source).select(column, "chosen", "rejected")
+
+
+def faithfulness(df: DataFrame, scorer: Callable[[], Complete], exemplars: list[dict[str, str]], *, passage: str = "passage", answer: str = "answer", min_hangul: float = 0.7, **gates: float) -> DataFrame:
+    """Adds lex, pmi, nli_margin and ``reason``: how much the passage helps the answer (log-probability with and without it), and whether the model says it supports it."""
+    ask = lambda prompt, continuation: F.struct(prompt.alias("prompt"), continuation.alias("continuation"))
+    claim = templates.support_prompt(exemplars, passage, answer)
+    asks = F.array(
+        ask(F.concat(F.lit("단락: "), F.col(passage), F.lit("\n답: ")), F.col(answer)),
+        ask(F.lit("답: "), F.col(answer)),
+        ask(claim, F.lit(" 예")),
+        ask(claim, F.lit(" 아니")),
+    )
+    scored = with_model(df.withColumn("_asks", F.to_json(asks)), "_asks", scorer, name="_p", kind="array<double>").drop("_asks")
+    out = scored.withColumn("lex", text.overlap(*(text.content_words(x, stop=profiles.STRICT_STOP_WORDS) for x in (passage, answer))))
+    out = out.withColumn("pmi", F.get("_p", F.lit(0)) - F.get("_p", F.lit(1))).withColumn("nli_margin", F.get("_p", F.lit(2)) - F.get("_p", F.lit(3))).drop("_p")
+    good = (text.hangul_fraction(answer) >= min_hangul) & text.strictly_faithful("lex", "pmi", "nli_margin", **gates)
+    return out.withColumn("reason", F.when(~F.coalesce(good, F.lit(False)), "unfaithful"))

@@ -6,10 +6,14 @@ A hook's calls may cost more than anything else, so its results should be writte
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.verify import code_block
 
 Complete = Callable[[list[str]], list]
 
@@ -17,7 +21,7 @@ Complete = Callable[[list[str]], list]
 def with_model(df: DataFrame, column: str, model: Callable[[], Complete], *, name: str = "output", kind: str = "string", batch: int = 256) -> DataFrame:
     """Adds ``name``: what the model gives for ``column``. ``model`` is called once in each task and returns a function from a list of
     values to a list of results (strings, lists of K samples, numbers), ``batch`` at a time."""
-    arrow = {"string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string()), "boolean": pa.bool_(), "bigint": pa.int64()}[kind]
+    arrow = {"string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()), "boolean": pa.bool_(), "bigint": pa.int64()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = model()
@@ -40,3 +44,21 @@ def fake_model(replies: list[str], k: int | None = None) -> Callable[[], Complet
         return lambda prompts: [one(x, 0) if k is None else [one(x, n) for n in range(k)] for x in prompts]
 
     return model
+
+
+def fake_scorer() -> Callable[[], Complete]:
+    """A test double for log-probabilities: of each (prompt, continuation) in a JSON list, minus a digest of the prompt and continuation below 10."""
+
+    def model() -> Complete:
+        def one(asks: str) -> list[float]:
+            return [-float(int(hashlib.md5(f"{p}|{x}".encode()).hexdigest()[:6], 16) % 1000) / 100 for p, x in ((a["prompt"], a["continuation"]) for a in json.loads(asks))]
+
+        return lambda values: [one(v) for v in values]
+
+    return model
+
+
+def run_code(df: DataFrame, output: str, tests: str, runner: Callable[[], Complete]) -> DataFrame:
+    """Adds ``verified``: what a sandbox says of the code in ``output`` and its tests. Nothing is run here: ``runner`` gets JSON {code, tests} and returns booleans."""
+    asked = df.withColumn("_job", F.to_json(F.struct(code_block(output).alias("code"), F.col(tests).alias("tests"))))
+    return with_model(asked, "_job", runner, name="verified", kind="boolean").drop("_job")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.common import cut
 
 MESSAGES = "array<struct<role: string, content: string>>"
 PREDICTIONS = "prediction string, response string, output string, text string, lang string, gold string, n_options int, verifier string"
@@ -39,11 +41,40 @@ def read_units(spark: SparkSession, path: str, default: list[str]) -> DataFrame:
 
 
 def head_of_corpus(df: DataFrame, max_chars: int, *, order: str, column: str = "text") -> DataFrame:
-    """The first ``max_chars`` characters of the rows in their order; the last row is cut. A feature for samples, never a substitute for whole texts."""
-    by = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(by), F.lit(0))
-    sized = df.withColumn("_n", F.length(column)).withColumn("_before", before).where(F.col("_before") < max_chars)
-    return sized.withColumn(column, F.left(F.col(column), F.lit(max_chars) - F.col("_before"))).drop("_n", "_before")
+    """The first ``max_chars`` characters of the rows in their order; the last row is cut. A feature for samples, never a substitute for whole texts.
+
+    Rows lie in ranges of the order; the characters of the ranges before (a number for each range comes to the driver) say where one
+    begins, and ranges behind the end are not looked at again.
+    """
+    size = F.coalesce(F.length(column), F.lit(0))
+    placed = cut(df.withColumn("_n", size).repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()))
+    total, starts = 0, []
+    for part, n in sorted(tuple(r) for r in placed.groupBy("_part").agg(F.sum("_n")).collect()):
+        if total < max_chars:
+            starts.append((part, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(starts, "_part int, _start bigint")
+    by = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.join(F.broadcast(offsets), "_part")  # a row for each range
+    sized = inside.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_n").over(by), F.lit(0))).where(F.col("_before") < max_chars)
+    return sized.withColumn(column, F.left(F.col(column), (F.lit(max_chars) - F.col("_before")).cast("int"))).select(*df.columns)
+
+
+def read_dataset(spark: SparkSession, root: str, schema: str, convert: Callable[[DataFrame], DataFrame], *, split: str = "train", subset: str | None = None, limit: int | None = None) -> DataFrame:
+    """A split of a dataset folder (``root``/[``subset``/]``split``, JSON lines or Parquet), converted; the limit counts converted rows, in no order."""
+    path = "/".join(x for x in (root, subset, split) if x)
+    kinds = {"parquet": lambda p: spark.read.schema(schema).parquet(p), "jsonl": lambda p: read_rows(spark, p, schema), "json": lambda p: read_array(spark, p, schema)}
+    for end, read in kinds.items():
+        if Path(f"{path}.{end}").exists():
+            rows = convert(read(f"{path}.{end}"))
+            return rows if limit is None else rows.limit(limit)
+    raise FileNotFoundError(f"{path}: none of {', '.join(kinds)}")
+
+
+def register(spark: SparkSession, folder: str, *names: str) -> None:
+    """Views by name over the Parquet tables of a folder, for queries in SQL."""
+    for name in names:
+        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
 
 
 def write_rows(df: DataFrame, path: str) -> None:

@@ -53,6 +53,7 @@ def test_signs_of_translation(spark):
 def test_predicates(spark):
     assert values(spark, ["a b c d " * 3, "a b c d a b c d", "a b c d x a b c d y a b c d", "", "a b c d e f g h i j k l m"], text.repeats_ngram) == [True, False, True, False, False]
     assert values(spark, ['{"a": 1}', "x", "- a"], lambda c: text.follows_format(c, F.lit("json"))) == [True, False, False]
+    assert values(spark, ["[1] 2.", "1] [2", '1} {"a": 2', "1, 2", "", " 12 ", "null"], text.is_json) == [False, False, False, False, False, True, True]
     assert values(spark, ["x", "말\n 1) 가", "-가"], lambda c: text.follows_format(c, F.lit("list"))) == [False, True, False]
     assert values(spark, ["먼저 하고 따라서 끝", "1. 가\n2. 나", "한 줄 따라서", "가\n나\n결론", None], text.step_structure) == [True, True, False, True, False]
     assert values(spark, ["짧다", "이 답은 문제가 없고 아주 잘 된 답이라고 할 수 있으니 더 고칠 것이 없다고 본다", "이 답은 둘째 물음에 답하지 않았으며 수치도 틀렸으므로 다시 써야 한다고 본다"], text.useful_critique) == [False, False, True]
@@ -104,6 +105,11 @@ def test_structured_answers(spark):
     golds = [("json", {"schema": {"required": ["a"], "types": {"a": "int"}}}, '{"a": true}', True), ("json", {"schema": {"types": {"a": "str"}}}, '{"a": 1}', False), ("list", {"min_items": 2}, "- 가\n2. 나", True), ("regex", {"pattern": "^가"}, "나", False), ("md_table", {"columns": ["이름"], "min_rows": 1}, "|이름|값|\n|---|---|\n|가|1|", True), ("other", {}, "x", False)]
     df = spark.createDataFrame([(o, json.dumps({"type": k} | g)) for k, g, o, _ in golds], "o string, g string")
     assert [r[0] for r in df.select(verify.verify_format("o", "g")).collect()] == [w for *_, w in golds]
+    schema = {"types": {"n": "number", "l": "list", "d": "object", "z": "null", "f": "float"}}
+    said = ['{"n": 1.5, "l": [], "d": {}, "z": null, "f": 0.5}', '{"n": "1"}', '{"l": {}}', '{"z": 0}', '{"f": 1}', '["n"]', "{}"]
+    df = spark.createDataFrame([(o, json.dumps({"type": "json", "schema": schema})) for o in said], "o string, g string")
+    assert [r[0] for r in df.select(verify.verify_format("o", "g")).collect()] == [True, False, False, False, False, False, True]
+    assert values(spark, ["a|b\n---|---\n1|2\n3\n4|5", "a\n---|---\n1|2", "", None], verify.extracted_table) == ['{"columns": ["a", "b"], "rows": [["1", "2"]]}', None, None, None]
     grid = [[(3 * (r % 3) + r // 3 + c) % 9 + 1 for c in range(9)] for r in range(9)]
     shown = "\n".join("|".join(map(str, r)) for r in grid)
     puzzle = json.dumps([[0] * 9 for _ in range(8)] + [grid[8]])
@@ -136,5 +142,7 @@ def test_markdown(spark):
     assert "# HEAD `x`" in upper and "- ITEM [LABEL](http://a.b/c)" in upper and "> QUOTE **BOLD** $a+b$" in upper
     assert "| A | `b|c` |\n|---|---|\n| D | $|x|$ |" in upper and "code | here" in upper and "\nmath\n" in upper and "\nz\n" in upper
     assert "PLAIN <b>TAG</b> http://u.v/w COSTS $5 TO $10" in upper
+    pieces = {"**a `x**` b**": "**A `x**` B**", "a * b": "A * B", "[x": "[X", "x](y)": "X](Y)", "snake_case_name": "SNAKE_CASE_NAME", "**a *b* c**": "**A *B* C**", "〔0〕 `c`": "〔0〕 `c`", "_a_ b": "_A_ B"}
+    assert {k: markdown.map_prose(k, str.upper) for k in pieces if "〔" not in k} == {k: v for k, v in pieces.items() if "〔" not in k}
     assert values(spark, ["a `b`", None, ""], lambda c: markdown.mapped_markdown(c, str.upper)) == ["A `b`", None, ""]
     assert values(spark, ["![i](x) `c` [l](u) http://z <b>"], markdown.masked_spans)[0].asDict() == {"image": 1, "code": 1, "display": 0, "math": 0, "paren": 0, "bracket": 0, "html": 1, "link": 1, "url": 1}

@@ -147,10 +147,12 @@ def test_blends_draw_exact_numbers(spark):
 
 
 def test_generated_problems(spark):
-    for r in blend.sudokus(spark, 4, blanks=40).collect():
-        grid = json.loads(r.solution)
-        assert verify.solved(grid) and sum(x == 0 for y in json.loads(r.puzzle) for x in y) == 40
-        assert verify.solves("\n".join(" ".join(map(str, y)) for y in grid), r.puzzle)
+    made = blend.sudokus(spark, 4, blanks=40)
+    shown = F.concat_ws("\n", F.transform(F.from_json("solution", "array<array<int>>"), lambda r: F.concat_ws(" ", F.transform(r, lambda x: x.cast("string")))))
+    for r in made.select("*", verify.solved(F.from_json("solution", "array<array<int>>")).alias("whole"), verify.verify_sudoku(shown, "puzzle").alias("solves")).collect():
+        assert r.whole and sum(x == 0 for y in json.loads(r.puzzle) for x in y) == 40
+        assert r.solves and r.problem.count(".") >= 40
+    assert made.select("solution").distinct().count() == 4 and blend.sudokus(spark, 1, level="hard").first().puzzle.count("0") == 55
     h = blend.haystacks(spark, ["one two three four.", "five six seven."], lang="en", lengths=(40, 100), depths=(0.0, 0.5, 1.0))
     got = h.collect()
     assert len(got) == 6 and all(r.answer in r.prompt and len(r.prompt.split()) <= r.context_tokens + 4 for r in got)
@@ -286,3 +288,47 @@ def test_streams(spark, tmp_path):
     assert sorted(str(r.reason) for r in run(streams.filtered_stream(stream, "t"), "filtered", "append")) == ["None", "None", "register_mix"]
     assert len(run(streams.first_copies(stream, "t", "at"), "copies", "append")) == 2
     assert sum(r.rows for r in run(streams.reason_counts(streams.filtered_stream(stream, "t"), "at"), "counts", "complete")) == 3
+
+
+def test_flows_with_models(spark):
+    from onggi.plans import flows, hooks
+
+    chats = spark.createDataFrame([(1, [("user", "a `b`"), ("assistant", "한국어 **c**")]), (2, [("assistant", "plain words")]), (3, None)], "id int, m array<struct<role string, content string>>")
+    out = {r.id: r for r in flows.translated_chats(chats, str.upper, messages="m").collect()}
+    assert [t.content for t in out[1].m] == ["A `b`", "한국어 **C**"] and out[1].reason is None and out[2].reason == "low_language" and out[3].m is None
+    p = spark.createDataFrame([(1, "말 `x`", "g")], "id int, problem string, gold string")
+    assert rows(flows.translated_problems(p, lambda t: t.replace("말", "글"))) == [(1, "글 `x`", "g")]
+    prompts = spark.createDataFrame([(f"물음 {k}",) for k in range(12)], "prompt string")
+    got = flows.sampled_preferences(prompts, hooks.fake_model(["갑니다. 갑니다.", "abc def"], 2)).collect()
+    assert got and all(r.chosen == "갑니다. 갑니다." and r.rejected == "abc def" for r in got)
+    jobs = spark.createDataFrame([("```python\nx = 1\n```", "assert x"), ("y", "assert")], "output string, tests string")
+    ran = hooks.run_code(jobs, "output", "tests", lambda: lambda batch: [json.loads(j)["code"] == "x = 1" for j in batch])
+    assert sorted(r.verified for r in ran.collect()) == [False, True]
+
+
+def test_ranks_and_heads_do_without_one_task(spark, tmp_path):
+    from onggi.operators.common import ranked
+    from onggi.sources import io
+
+    df = spark.range(500).withColumn("g", F.when(F.col("id") % 3 > 0, F.col("id") % 3)).withColumn("t", F.repeat(F.lit("가"), F.col("id").cast("int") % 7))
+    h = text.stable_hash(0, "id")
+    want = df.withColumn("h", h).toPandas().sort_values(["h", "id"])
+    want["r"] = want.groupby("g", dropna=False).cumcount() + 1
+    got = ranked(df, "g", h, "id", ranges=16).toPandas()
+    assert dict(zip(got.id, got._rank)) == dict(zip(want.id, want.r)) and set(got._rows) == set(want.groupby("g", dropna=False).size())
+    head = io.head_of_corpus(df, 100, order="id", column="t").orderBy("id").collect()
+    assert "".join(r.t for r in head) == "".join("가" * (k % 7) for k in range(500))[:100]
+    spark.range(20).selectExpr("cast(id as string) AS q").write.json(f"{tmp_path}/a/train.jsonl")
+    assert io.read_dataset(spark, str(tmp_path), "q string", lambda d: d.where("q > '1'"), subset="a", limit=5).count() == 5
+    with pytest.raises(FileNotFoundError):
+        io.read_dataset(spark, str(tmp_path), "q string", lambda d: d, split="none")
+
+
+def test_passages_of_a_pool(spark):
+    base = " ".join(f"낱말{k}" for k in range(60))
+    near = base.replace("낱말30", "다른말")
+    texts = ["짧다", base, base, near, " ".join(f"글{k}" for k in range(60)), None, " ".join(f"새{k}" for k in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    held = spark.createDataFrame([("글3 글4 글5 글6 글7",)], "text string")
+    got = {r.id: r.reason for r in cluster.passage_pool(df, held).collect()}
+    assert got == {0: "length", 1: None, 2: "copy", 3: "near_copy", 4: "leak", 5: "length", 6: None}
