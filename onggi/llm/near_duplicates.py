@@ -129,14 +129,24 @@ class Forest:
             todo.append((level - 1, a[keep], b[keep]))
 
 
-def similar(group: np.ndarray, unit: np.ndarray, n: np.ndarray, bits: list[bytes], num: int, den: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _words(bits: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The 64-bit words of all bitmaps, and of each bitmap where it begins and how many it has."""
+    whole = bits.combine_chunks() if isinstance(bits, pa.ChunkedArray) else bits
+    _, offsets, data = whole.buffers()
+    edges = np.frombuffer(offsets, np.int32)[whole.offset : whole.offset + len(whole) + 1].astype(np.int64)
+    words = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]].view(np.uint64)
+    start = (edges - edges[0]) // 8
+    return words, start[:-1], np.diff(start)
+
+
+def similar(group: np.ndarray, unit: np.ndarray, n: np.ndarray, bits: pa.Array | pa.ChunkedArray, num: int, den: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of units of one group that may reach num/den. Bitmaps of two widths meet folded to the narrower one; similar sets differ by one step at most.
 
     side: 0 or 1 for each row; in a group with both only pairs of both kinds count.
     """
     if len(group) < 2:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    width = np.array([len(b) // 8 for b in bits])
+    words, start, width = _words(bits)
     found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     if side is not None:
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
@@ -151,7 +161,7 @@ def similar(group: np.ndarray, unit: np.ndarray, n: np.ndarray, bits: list[bytes
         flat = np.zeros((len(rows), w), np.uint64)
         for wide in (w, 2 * w):
             if len(at := np.flatnonzero(width[rows] == wide)):
-                own = np.frombuffer(b"".join(bits[k] for k in rows[at].tolist()), np.uint64).reshape(len(at), wide)
+                own = words[start[rows[at]][:, None] + np.arange(wide)]
                 flat[at] = own[:, :w] | own[:, w:] if wide > w else own
         across = None if side is None else np.where(mixed[rows], side[rows], -1 - np.arange(len(rows)))
         for i, j in Forest(group[rows], n[rows], flat).pairs(num, den, across):
@@ -306,7 +316,7 @@ def _grow(num: int, den: int, block: int):
         tree = t.column("tree").to_numpy()
         alone = np.r_[True, tree[1:] != tree[:-1]] & np.r_[tree[1:] != tree[:-1], True]
         t = t.filter(pa.array(~alone))
-        a, b = similar(t.column("tree").to_numpy(), t.column("unit").to_numpy(), t.column("n").to_numpy().astype(np.int64), t.column("bits").to_pylist(), num, den)
+        a, b = similar(t.column("tree").to_numpy(), t.column("unit").to_numpy(), t.column("n").to_numpy().astype(np.int64), t.column("bits"), num, den)
         none = pa.nulls(len(a))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], ["a", "b", "tree", "own", "n", "bits"])
 
@@ -342,7 +352,7 @@ def _traverse(num: int, den: int):
             new = np.zeros(t.num_rows, bool)
             for k in keys:
                 new[1:] |= k[1:] != k[:-1]
-            a, b = similar(np.cumsum(new), t.column("a").to_numpy(), t.column("n").to_numpy().astype(np.int64), t.column("bits").to_pylist(), num, den, t.column("side").to_numpy().astype(np.int64))
+            a, b = similar(np.cumsum(new), t.column("a").to_numpy(), t.column("n").to_numpy().astype(np.int64), t.column("bits"), num, den, t.column("side").to_numpy().astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return run

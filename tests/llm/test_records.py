@@ -87,6 +87,7 @@ def test_forest_loses_no_pair():
 
 def test_bitmaps_of_two_widths_meet():
     import numpy as np
+    import pyarrow as pa
 
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 1 << 50, n)) for n in rng.integers(100, 500, 60)]
@@ -98,7 +99,7 @@ def test_bitmaps_of_two_widths_meet():
         maps.append(np.packbits(bits).tobytes())
     n = np.array([len(s) for s in sets])
     group, unit = np.arange(len(sets)) % 3 * 0, np.arange(len(sets))
-    a, b = near_duplicates.similar(group, unit, n, maps, 3, 5)
+    a, b = near_duplicates.similar(group, unit, n, pa.array(maps, pa.binary()), 3, 5)
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(np.intersect1d(sets[i], sets[j])) * 5 >= 3 * len(np.union1d(sets[i], sets[j]))}
     assert want and want <= set(zip(a.tolist(), b.tolist())) and len({len(m) for m in maps}) > 1 and len(a) < len(sets) ** 2 / 4
 
