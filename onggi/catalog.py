@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .functions import chat, markdown, text, verify
 from .functions import profiles as p
 from .operators import blend, cluster, filters, pack, prefer, report, stats, vocab
-from .operators.common import numbered
+from .operators.common import numbered, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -58,7 +58,7 @@ def oracle_sql() -> dict[str, str]:
 def _table(spark: SparkSession, sf: str, name: str, key: str | None = None, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    return df.dropDuplicates([key]) if key else df
+    return df.dropDuplicates([key]) if key else spread(df)
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:

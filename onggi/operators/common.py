@@ -21,6 +21,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores is spread over the cores; a larger one is read as it lies."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def numbered(df: DataFrame, *order: Column | str, name: str = "row") -> tuple[DataFrame, int]:
     """The rows with their place (from 0) in a total order, and how many there are.
 
