@@ -95,9 +95,9 @@ def judge_prompts(spark, sf):
     return df.select("exemplar_id", templates.judge_messages("question", "answer", "passage", "정확성")[0]["content"].alias("said"))
 
 
-@query(f"SELECT pred_id, list_filter(list_transform({_LINES.format('prediction')}, lambda s: regexp_extract(s, '^{WS}*\\d+[.)]{WS}+(.*[^\\s\\x0b\\x{{85}}\\p{{Z}}])', 1)), lambda s: s <> '') AS items FROM {P} WHERE prediction IS NOT NULL")
+@query(f"SELECT pred_id, array_to_string(list_filter(list_transform({_LINES.format('prediction')}, lambda s: regexp_extract(s, '^{WS}*\\d+[.)]{WS}+(.*[^\\s\\x0b\\x{{85}}\\p{{Z}}])', 1)), lambda s: s <> ''), '|') AS items FROM {P} WHERE prediction IS NOT NULL")
 def numbered_items(spark, sf):
-    return _outputs(spark, sf).where("prediction is not null").select("pred_id", chat.numbered_lines("prediction").alias("items"))
+    return _outputs(spark, sf).where("prediction is not null").select("pred_id", F.array_join(chat.numbered_lines("prediction"), "|").alias("items"))
 
 
 _SAID = "CASE pred_id % 5 WHEN 0 THEN '판정: ' || chr((65 + run % 2)::INT) WHEN 1 THEN '근거 {\"winner\": \"' || chr((97 + run % 2)::INT) || '\"} 끝' WHEN 2 THEN 'Verdict : b' WHEN 3 THEN prediction ELSE '{\"판정\": \"A\"}' END"
@@ -135,9 +135,9 @@ def _tokens(x: str) -> str:
     return f"list_distinct(list_transform(list_filter({_words(x)}, lambda w: length(w) > 1), lambda w: regexp_replace(w, '^{_EDGE}+|{_EDGE}+$', '', 'g')))"
 
 
-@query(f"SELECT exemplar_id, list_sort({_tokens('question')}) AS tokens FROM {Q} WHERE question IS NOT NULL")
+@query(f"SELECT exemplar_id, array_to_string(list_sort({_tokens('question')}), '|') AS tokens FROM {Q} WHERE question IS NOT NULL")
 def token_sets(spark, sf):
-    return _passages(spark, sf).where("question is not null").select("exemplar_id", F.array_sort(text.token_set("question")).alias("tokens"))
+    return _passages(spark, sf).where("question is not null").select("exemplar_id", F.array_join(F.array_sort(text.token_set("question")), "|").alias("tokens"))
 
 
 def _jaccard(a: str, b: str, empty: str) -> str:
@@ -344,7 +344,7 @@ def faithful_answers(spark, sf):
     return out.select("exemplar_id", F.round("lex", 6).alias("lex"), F.round("pmi", 6).alias("pmi"), "reason")
 
 
-@query(f"SELECT chat_id, n, reason FROM (SELECT chat_id, len(messages) AS n, CASE WHEN len(list_filter(messages, lambda m: m.role = 'assistant' AND ({_share('m.content', 'Hangul', '1.0')}) < 0.6)) > 0 THEN 'low_language' END AS reason FROM (SELECT DISTINCT ON (chat_id) * FROM chats WHERE messages IS NOT NULL))")
+@query(f"SELECT chat_id, n, reason FROM (SELECT chat_id, len(messages)::INT AS n, CASE WHEN len(list_filter(messages, lambda m: m.role = 'assistant' AND ({_share('m.content', 'Hangul', '1.0')}) < 0.6)) > 0 THEN 'low_language' END AS reason FROM (SELECT DISTINCT ON (chat_id) * FROM chats WHERE messages IS NOT NULL))")
 def translated_chats(spark, sf):
     """With a mapper that changes nothing: Markdown must come through whole, so the language check is that of the source."""
     chats = _table(spark, sf, "chats", None, "chat_id", "messages").where("messages is not null")
