@@ -141,6 +141,39 @@ def test_a_hot_branch_is_split(spark, budget):
     assert lookalikes.spellings(df.limit(0), budget=budget).count() == 0
 
 
+@pytest.mark.parametrize("budget", [0.0, 0.5, 1.0, 1.5])
+def test_paid_edits_are_found_in_every_place(spark, budget):
+    usual = ["CAFE", "ledger", "ledgers", "orbit", "on", "a", "café", "온도", "온도계", "\u1ec7x"]
+    mixed = ["ᎪFE", "ᏟAFE", "CᎪFE", "CAFᎬ", "ᎪAFE", "Ꮎrbit", "Ꮎn"]  # unusual only where edits are paid
+    odd = ["l\u0435dger", "l\u0435dgrs", "\u0435dger", "\u043eᎡbit", "\u0430", "β", "\u200b도", "\u200b온돠", "cafe\u200b", "e\u0302\u200b\u0323x", "\u200b", "температура"] + (mixed if budget else [])
+    df = spark.createDataFrame(rows([" ".join(usual * 2), " ".join(odd + mixed), " \u00a0", None]), EMPTY)
+    trie = lookalikes.Trie()
+    for w in usual:
+        trie.add(w, 2)
+    want = {w: trie.match(w, budget) for w in odd} | {" \u00a0": None}  # blanks are no spelling of a word
+    assert want["e\u0302\u200b\u0323x"] == "\u1ec7x"
+    assert budget != 0.5 or [want[w] for w in mixed] == [None, "CAFE", "CAFE", "CAFE", "CAFE", "orbit", "on"]
+    assert budget != 1 or (want["\u0435dger"], want["\u200b온돠"], want["ᎪFE"]) == ("ledger", "온도", None)
+    for most in (50_000, 2):
+        got = lookalikes.spellings(df, budget=budget, most=most).collect()
+        assert sorted(r.word for r in got) == sorted(want)
+        assert {r.word: r.spelling if r.matched else None for r in got} == want
+
+
+def test_a_spelling_that_asks_several_blocks_comes_once(spark):
+    usual = " ".join("x" * 70 + str(k) for k in range(40))
+    df = spark.createDataFrame(rows([usual, usual.replace("x", "х", 1), usual.replace("x7", "х7")]), EMPTY)
+    got = lookalikes.spellings(df, most=8).collect()
+    assert len(got) == len({r.word for r in got}) and all(r.matched for r in got)
+
+
+def test_letters_without_a_composed_form_are_seen(spark):
+    tail = "0123456789 " * 12
+    alike = [("\u0958", "\u0915\u093c"), ("\u09cb", "\u09c7\u09be"), ("\u2329", "\u3008"), ("\ufb4b", "\u05d5\u05b9"), ("\U0001d15e", "\U0001d157\U0001d165"), ("\U0001109a", "\U00011099\U000110ba")]
+    df = frame(spark, [x + f"{k} " + tail for k, pair in enumerate(alike) for x in pair])
+    assert {tuple(r) for r in lookalikes.lookalike_pairs(df).collect()} == {("t", 2 * k, 2 * k + 1) for k in range(len(alike))}
+
+
 def test_shares_of_texts_without_letters_are_zero(spark, tmp_path):
     texts = ["", "!!!", "\n", "줄\n줄", None]
     spark.createDataFrame([(k, t, "a") for k, t in enumerate(texts)], "pred_id bigint, prediction string, source string").write.parquet(f"{tmp_path}/predictions.parquet")
